@@ -1,9 +1,11 @@
 """Queries and SQL of this subpackage, by name."""
 
-from vigil.llm import mixing, secrets
+from vigil.llm import mixing, ngram_join, quality, secrets
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_secret_scan": secrets.op2_secret_scan,
+    "op5_quality_score": quality.op5_quality_score,
     "op8_source_mix": mixing.op8_source_mix,
 }
 SQL = {
