@@ -1,12 +1,14 @@
 """Queries and SQL of this subpackage, by name."""
 
-from vigil.llm import mixing, ngram_join, quality, secrets
+from vigil.llm import lm, mixing, ngram_join, packing, quality, secrets
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op5_quality_score": quality.op5_quality_score,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_source_mix": mixing.op8_source_mix,
+    "op9_pitman_yor_score": lm.op9_pitman_yor_score,
 }
 SQL = {
     "op2_secret_scan": secrets.OP2_SQL,
