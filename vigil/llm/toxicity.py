@@ -1,8 +1,8 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
 A bounded sample of labelled rows (SAMPLE a class, the smallest hashes of the id)
-gives the examples and the vocabulary: terms that tell the classes apart, by
-chi-square. Terms are words and beginnings of words, each once more for texts that
+gives the examples and the vocabulary: terms that texts of label 1 hold more often,
+by chi-square. Terms are words and beginnings of words, each once more for texts that
 hold it often, so that the weight of a term's frequency is the idf of its levels.
 Document frequencies are those of all documents. Examples lie in an
 inverted index in blocks, with the largest weight of each term in each block; a
@@ -100,13 +100,13 @@ def example_terms(docs: DataFrame, picked: DataFrame) -> DataFrame:
 
 
 def telling_terms(examples: DataFrame, ones: int, zeros: int) -> np.ndarray:
-    """At most VOCABULARY terms whose presence tells the classes apart, as sorted hashes."""
+    """At most VOCABULARY terms that the examples of label 1 hold more often, as sorted hashes."""
     total = float(max(1, ones + zeros))
     held = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     cross = a * (zeros - b) - b * (ones - a)
     chi = total * cross * cross / (F.lit(float(max(1, ones * zeros))) * (a + b) * (total - a - b + 0.5))
-    kept = held.withColumn("chi", chi).filter((a + b >= 3) & (F.col("chi") >= LEAST)).orderBy(F.desc("chi"), "term").limit(VOCABULARY)
+    kept = held.withColumn("chi", chi).filter((a + b >= 3) & (F.col("chi") >= LEAST) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "term").limit(VOCABULARY)
     return np.sort(np.array([r["term"] for r in kept.select("term").collect()], dtype=np.int64).view(U64))
 
 
@@ -141,6 +141,22 @@ def with_terms(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, terms array<int>")
 
 
+def document_frequencies(found: DataFrame, size: int) -> np.ndarray:
+    """How many rows hold each term. Tasks count first, so that a row per term and task is summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            n += np.bincount(batch["terms"].flatten().to_numpy(), minlength=size)
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(n[held])], names=["term", "n"])
+
+    out = np.zeros(size)
+    for row in found.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # at most VOCABULARY rows
+        out[row["term"]] = row["n"]
+    return out
+
+
 class Example(NamedTuple):
     doc_id: int
     toxic: int
@@ -211,8 +227,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     vocabulary = telling_terms(examples, ones, zeros)
     found = stored(with_terms(docs, vocabulary))
     total = found.count()
-    df = {r["term"]: r["n"] for r in found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}  # at most VOCABULARY rows
-    idf = np.log((1 + total) / (1 + np.array([df.get(i, 0) for i in range(len(vocabulary))], dtype=float))) + 1
+    idf = np.log((1 + total) / (1 + document_frequencies(found, len(vocabulary)))) + 1
 
     rows = found.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "terms").collect()  # at most a document for each sampled row
     sampled = [Example(r["doc_id"], r["toxic"], np.array(r["terms"], dtype=np.int64)) for r in rows]
