@@ -42,9 +42,9 @@ def part_rules(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
         f"transform(sequence(1, 1 + cast(p_partkey % 3 as int)), i -> concat('city', cast((p_partkey * i) % 7 as string))) || if({changed}, array('city6'), cast(array() as array<string>)) as cities",
         "transform(sequence(1, 2 + cast(p_partkey % 3 as int)), i -> cast((p_partkey + i * 4) % 13 as int)) as months",
         """transform(sequence(1, 1 + cast(p_partkey % 2 as int)), i -> named_struct(
-             'metric', concat('m', cast((p_size + i) % 4 as string)), 'operator', if((p_partkey + i) % 3 = 0, '<=', '>='),
+             'metric', concat('m', cast((p_size + i * ((p_partkey + 2) % 3)) % 4 as string)), 'operator', if((p_partkey + i) % 3 = 0, '<=', '>='),
              'comparison', if(p_partkey % 4 = 1, 'baseline_percentile', 'absolute'),
-             'threshold', if(p_partkey % 4 = 1 and p_partkey % 28 <> 1, cast(null as double), cast(cast(p_retailprice as long) % 5 * 10 as double)),
+             'threshold', if(p_partkey % 4 = 1 and p_partkey % 28 <> 1, cast(null as double), cast((cast(p_retailprice as long) + 3 * i) % 5 * 10 as double)),
              'baseline_percentile', if(p_partkey % 4 = 1, 'p90', cast(null as string)))) as predicates""",
         f"""if(p_partkey % 3 = 0, cast(null as array<struct<severity:string,minimum_persistence_hours:int,minimum_threshold_ratio:double>>), array(
              named_struct('severity', if(p_partkey % 5 = 0, 'high', 'low'), 'minimum_persistence_hours', 2, 'minimum_threshold_ratio', cast(1.0 as double)),
