@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value: object) -> Broadcast:
+    """value as a broadcast for received(): with the code of this package's classes, which tasks may not find otherwise."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(value: Broadcast) -> object:
+    return cloudpickle.loads(value.value)
+
+
 def crc_bucket(column: str, buckets: int):
     """crc32 of the column as text, modulo buckets; a null id is in bucket 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % buckets, F.lit(0))
