@@ -16,7 +16,6 @@ from vigil.sources import adapters
 from vigil.sources.adapters import table
 
 RANGES = (Range("l_quantity", 2, 49), Range("l_discount", 0.01, 0.09), Range("l_tax", 0, 0.07))
-ISSUES = (*validation.range_issues(RANGES), validation.warning_above("l_tax", "l_discount"))
 RECORD = ("l_orderkey", "l_linenumber")
 
 
@@ -26,8 +25,12 @@ def items(s: SparkSession, d: str) -> DataFrame:
                                           F.when(F.col("l_orderkey") % 97 != 0, F.col("l_quantity")).alias("l_quantity"), "l_discount", "l_tax")
 
 
+def judged(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return validation.validated(items(s, d), [*validation.range_issues(RANGES), validation.warning_above("l_tax", "l_discount")])
+
+
 def issues(s: SparkSession, d: str) -> DataFrame:
-    return validation.validated(items(s, d), ISSUES)[1]
+    return judged(s, d)[1]
 
 
 def policy(s: SparkSession, d: str) -> DataFrame:
@@ -126,7 +129,7 @@ def readiness(s: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "b1_range_issues": lambda s, d: issues(s, d).select(*RECORD, "field_name", "error_type", "severity"),
-    "b1_valid_rows": lambda s, d: validation.validated(items(s, d), ISSUES)[0].groupBy("source", "city_id").agg(F.count("*").alias("valid_rows")),
+    "b1_valid_rows": lambda s, d: judged(s, d)[0].groupBy("source", "city_id").agg(F.count("*").alias("valid_rows")),
     "b2_timestamps": b2,
     "b3_missing_values": lambda s, d: issues(s, d).filter("error_type = 'missing'").groupBy("source", "field_name").agg(F.count("*").alias("issues")),
     "b4_sentinels": b4,
