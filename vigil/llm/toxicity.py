@@ -23,6 +23,7 @@ each; columns beside doc_id and text take no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 from typing import NamedTuple
 
 import numpy as np
@@ -30,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64, signed, slices, stored, table, words
+from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64, received, sent, signed, slices, stored, table, words
 
 #: Examples of each class, terms, and the least chi-square of one; votes; examples in a block.
 SAMPLE, VOCABULARY, LEAST, NEAREST, BLOCK = 2000, 512, 20.0, 15, 32
+#: Blocks that a query opens at a time; rows in a task that scores.
+OPENED, SCORED = 8, 4000
 #: Bytes of the beginnings of longer words that are terms; occurrences that make one more term of a term.
 BEGINNINGS, LEVELS = (5, 6, 7, 8), (1, 2, 4, 8)
 #: Votes of the prior, beside those of the neighbours.
@@ -176,23 +179,25 @@ class Index:
         self.ids = np.array([examples[i].doc_id for i in order], dtype=np.int64)
         self.toxic = np.array([examples[i].toxic for i in order], dtype=float)
         self.n_blocks = -(-len(order) // BLOCK)
-        self.matrix = np.zeros((len(idf), self.n_blocks * BLOCK), dtype=np.float64)
+        self.matrix = np.zeros((len(idf), self.n_blocks, BLOCK))
         for place, i in enumerate(order):
-            self.matrix[examples[i].terms, place] = weights[i]
-        self.most = self.matrix.reshape(len(idf), self.n_blocks, BLOCK).max(axis=2) if self.n_blocks else np.zeros((len(idf), 0))
+            self.matrix[examples[i].terms, place // BLOCK, place % BLOCK] = weights[i]
+        self.most = self.matrix.max(axis=2)
         self.idf = idf
 
     def nearest(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and similarities of the k nearest examples with any term in common, exactly."""
         weight = weighted(terms, self.idf)
         bounds = weight @ self.most[terms]
+        blocks = np.argsort(-bounds, kind="stable")
         places, similar, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(places) == k and bounds[b] < least - 1e-12):
+        for low in range(0, len(blocks), OPENED):
+            opened = blocks[low : low + OPENED]
+            if bounds[opened[0]] <= 0 or (len(places) == k and bounds[opened[0]] < least - 1e-12):
                 break
-            own = weight @ self.matrix[terms, b * BLOCK : (b + 1) * BLOCK]
+            own = np.tensordot(weight, self.matrix[terms][:, opened], axes=1).ravel()
             hit = np.flatnonzero(own > 0)
-            places, similar = np.append(places, b * BLOCK + hit), np.append(similar, own[hit])
+            places, similar = np.append(places, opened[hit // BLOCK] * BLOCK + hit % BLOCK), np.append(similar, own[hit])
             if len(places) > k:
                 top = np.lexsort((self.ids[places], -np.round(similar, 12)))[:k]
                 places, similar = places[top], similar[top]
@@ -238,10 +243,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bare = [e for e in sampled if not len(e.terms)]
     for_, against = sum(e.toxic for e in bare) * votes[1], sum(1 - e.toxic for e in bare) * votes[0]
     without = (for_ + prior) / (for_ + against + 1)
-    voter = docs.sparkSession.sparkContext.broadcast(Voter(Index([e for e in sampled if len(e.terms)], idf), votes, prior, without))
+    voter = sent(docs.sparkSession, Voter(Index([e for e in sampled if len(e.terms)], idf), votes, prior, without))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = voter.value, {}
+        model, seen = received(voter), {}
         for batch in batches:
             scores, evidence = [], []
             for doc_id, terms in zip(batch["doc_id"].to_pylist(), batch["terms"].to_pylist(), strict=True):
@@ -260,7 +265,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["doc_id", "held_out", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, evidence array<long>")
+    # the rows are small and the work is not: dealt anew, as their files hold too many each
+    dealt = found.repartition(max(1, ceil(total / SCORED)))
+    return dealt.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, evidence array<long>")
 
 
 def op4_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
