@@ -221,3 +221,26 @@ def test_empty_tables_give_empty_results(spark):
     empty = hourly(spark, [30.0]).limit(0)
     assert not triggers(spark, empty, rule(spark, ABOVE_40, 1))
     assert catalog.FLAGSHIP
+
+
+def test_exposure_holds_every_rule_and_day(spark):
+    from vigil.plans import risk
+    from vigil.sources import adapters
+
+    d = "/root/testdata/sf0.001"
+    relevance = {(r.rule_id, r.condition): r.relevance for r in rules.condition_relevance(catalog.flagship_rules(spark, d), catalog.profiles(spark)).collect()}
+    held = [(r.decision_date, r.city_id, r.rule_id, r.window_start, r.severity_rank) for r in risk.daily(spark, d).collect()]
+    conditions, expected, at_risk = {}, {}, {}
+    for r in adapters.member_conditions(spark, d).collect():
+        conditions.setdefault(r.member_id, set()).add(r.condition)
+    for m in adapters.members(spark, d).collect():
+        for day, city, rule_id, start, rank in held:
+            ours = [relevance[rule_id, c] for c in conditions.get(m.member_id, ()) if (rule_id, c) in relevance]
+            if city == m.city_id and ours:
+                weight = max({"high": 2, "medium": 1}.get(x, 0) for x in ours)
+                expected[day, m.member_id, rule_id, start] = rank + weight + (m.age_band == "60+")
+                at_risk.setdefault((day, city), set()).add(m.member_id)
+    rows = risk.exposure(spark, d).collect()
+    assert len(rows) == len(expected) and {(r.decision_date, r.member_id, r.rule_id, r.window_start): r.priority_score for r in rows} == expected
+    assert {rule_id for *_, rule_id, _ in expected} - {"R1", "R4"} and len({day for day, *_ in expected}) > 3
+    assert all(r.at_risk_members == len(at_risk.get((r.decision_date, r.city_id), ())) for r in risk.workload(spark, d).collect())

@@ -46,10 +46,9 @@ def summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exposure(spark: SparkSession, d: str) -> DataFrame:
-    """Exposure to two of the rules on three days; all rules and days would be members times windows."""
-    focus = daily(spark, d).filter("rule_id IN ('R1', 'R4') AND decision_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'")
+    """Exposure to every rule on every day that it holds."""
     relevance = rules.condition_relevance(catalog.flagship_rules(spark, d), catalog.profiles(spark))
-    return marts.member_exposure(adapters.members(spark, d), adapters.member_conditions(spark, d), focus, relevance)
+    return marts.member_exposure(adapters.members(spark, d), adapters.member_conditions(spark, d), daily(spark, d), relevance)
 
 
 def workload(spark: SparkSession, d: str) -> DataFrame:
