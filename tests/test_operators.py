@@ -244,3 +244,14 @@ def test_exposure_holds_every_rule_and_day(spark):
     assert len(rows) == len(expected) and {(r.decision_date, r.member_id, r.rule_id, r.window_start): r.priority_score for r in rows} == expected
     assert {rule_id for *_, rule_id, _ in expected} - {"R1", "R4"} and len({day for day, *_ in expected}) > 3
     assert all(r.at_risk_members == len(at_risk.get((r.decision_date, r.city_id), ())) for r in risk.workload(spark, d).collect())
+
+
+def test_reference_integrity_reads_every_order(spark):
+    from vigil.plans import operations as plans
+
+    d = "/root/testdata/sf0.001"
+    ours = {r.member_id for r in plans.incoming_members(spark, d).collect()}
+    links = [(r.o_custkey, r.o_orderpriority) for r in spark.read.parquet(f"{d}/orders.parquet").collect()]
+    orphans, twice = [m for m, _ in links if m not in ours], [m for m, c in set(links) if links.count((m, c)) > 1]
+    found = {r.violation: (r.n, r.ids) for r in plans.QUERIES["c14_reference_integrity"](spark, d).collect()}
+    assert found == {"orphan_link": (len(orphans), len(set(orphans))), "repeated_link": (len(twice), len(set(twice)))}

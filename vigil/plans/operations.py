@@ -57,7 +57,7 @@ def old_links(s: SparkSession, d: str) -> DataFrame:
 
 
 def bad_links(s: SparkSession, d: str) -> DataFrame:
-    links = table(s, d, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("member_id"), F.col("o_orderpriority").alias("condition"))
+    links = table(s, d, "orders").select(F.col("o_custkey").alias("member_id"), F.col("o_orderpriority").alias("condition"))
     return links
 
 
