@@ -183,6 +183,19 @@ def test_pseudonyms_keep_format_validity_and_links(spark, edges, empty):
     assert pii.pseudonymised(empty).count() == 0
 
 
+def test_values_beside_other_digits_are_found():
+    f = pii.Feistel("a")
+    for text, kinds in (
+        ("4111 1111 1111 1111 12/27", ["card"]), ("4111111111111111 123", ["card"]), ("27 4111 1111 1111 1111 é", ["card"]), ("2024-01-15 2024-01-16", ["date", "date"]), ("2024-01-15 555-123-4567", ["date", "phone"]),
+        ("123-45-6789 555-123-4567", ["ssn", "phone"]), ("BE68 5390 0754 7034 EUR", ["iban"]), ("4279 0558 9076 4914", []), ("2021-02-30", []),
+    ):
+        fresh, found = pii.replaced(text, f)
+        assert [k for k, *_ in found] == kinds
+        assert all(text[a:b] not in fresh for _, a, b in found) and len(fresh) == len(text)
+    fresh, found = pii.replaced("4111 1111 1111 1111 12/27", f)
+    assert found == [("card", 0, 19)] and fresh.endswith(" 12/27")
+
+
 # 4, 5
 
 

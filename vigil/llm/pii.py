@@ -9,11 +9,12 @@ equal values, wherever they stand: records stay linked across documents. A day i
 the same number in any of its formats.
 
 The values of a document are found by one pattern; where candidates overlap, the
-leftmost counts, and of those that begin together the first kind of KINDS. Equal
-text before and after is kept byte by byte.
+leftmost valid one counts, and of those that begin together the first kind of KINDS,
+at its longest valid end. Equal text before and after is kept byte by byte.
 
 Defined results: null text stays null and empty text empty, without values;
-invalid candidates stay as they are and what they cover is not looked at again;
+invalid candidates stay as they are, and the search goes on at shorter ends, with
+the other kinds, and then one character further;
 repeated rows get equal results; a null id is treated like any other; columns
 beside doc_id and text are passed on untouched; texts are searched whole.
 """
@@ -48,6 +49,10 @@ PATTERN = re.compile(
     re.VERBOSE | re.ASCII,
 )
 SIGN = re.compile(r"[0-9@]")
+#: The pattern of each kind alone, for what else may begin where a candidate failed.
+ALONE = {k: re.compile(part, re.VERBOSE | re.ASCII) for k, part in zip(KINDS, re.split(r"\n    \|(?=\(\?P<)", PATTERN.pattern), strict=True)}
+#: Kinds whose runs may take in what follows the value, each with what may follow a shorter end.
+RUNS = {"card": re.compile(r"(?![\w-])", re.ASCII), "iban": re.compile(r"(?!\w)", re.ASCII), "phone": re.compile(r"(?![\w-])", re.ASCII)}
 
 
 class Feistel:
@@ -182,17 +187,45 @@ def email(value: str, f: Feistel) -> str | None:
 PSEUDONYM: dict[str, Callable[[str, Feistel], str | None]] = {"email": email, "card": card, "iban": iban, "ssn": ssn, "phone": phone, "ip": ip, "date": date}
 
 
+def shorter(kind: str, text: str, start: int, end: int) -> re.Match | None:
+    """The longest candidate of a kind of RUNS that begins at start and ends before end."""
+    if kind in RUNS:
+        for stop in range(end - 1, start, -1):
+            match = RUNS[kind].match(text, stop) and ALONE[kind].fullmatch(text, start, stop)
+            if match:
+                return match
+    return None
+
+
+def value_at(text: str, start: int, first: re.Match, f: Feistel) -> tuple[str, int, str] | None:
+    """(kind, end, pseudonym) of the value that begins at start, where first is a candidate."""
+    for kind in KINDS[KINDS.index(first.lastgroup) :]:
+        match = first if kind == first.lastgroup else ALONE[kind].match(text, start)
+        while match:
+            fresh = PSEUDONYM[kind](match[0], f)
+            if fresh is not None:
+                return kind, match.end(), fresh
+            match = shorter(kind, text, start, match.end())
+    return None
+
+
 def replaced(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of what they stand for, by places of the old text."""
     if not SIGN.search(text):
         return text, []
     out, found, at = [], [], 0
-    for match in PATTERN.finditer(text):
-        fresh = PSEUDONYM[match.lastgroup](match[0], f)
-        if fresh is not None:
-            out += [text[at : match.start()], fresh]
-            at = match.end()
-            found.append((match.lastgroup, match.start(), match.end()))
+    match = PATTERN.search(text)
+    while match:
+        start = match.start()
+        value = value_at(text, start, match, f)
+        if value is None:
+            match = PATTERN.search(text, start + 1)
+            continue
+        kind, end, fresh = value
+        out += [text[at:start], fresh]
+        found.append((kind, start, end))
+        at = end
+        match = PATTERN.search(text, end)
     return "".join([*out, text[at:]]) if found else text, found
 
 
