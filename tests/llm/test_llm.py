@@ -158,6 +158,17 @@ def test_redaction_removes_secrets_and_leaves_the_rest(spark, empty):
     assert secrets.redact(empty).columns == empty.columns and secrets.redact(empty).count() == 0
 
 
+def test_redaction_takes_whole_keys_and_tokens(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "xY+/" * 12] * 40)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [
+        f"a {begin}\n{body}\nab12=\n{end} z", f"a {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{body}\n{end} z", f"a {begin}\n{body}\nab12=\nsome more words", f"a {begin} as a name only",
+        "a " + (begin + "\n" + body + "\n" + end).replace("\n", "\\n") + " z", f"a {begin}\n{body}\n{end} b {begin}\n{body}\n{end} z", "a ghp_" + "a" * 400 + " z", "a xoxb-" + "1" * 400 + " z",
+    ]
+    found = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], DOCS)).collect()}
+    assert [found[i] for i in range(len(texts))] == ["a [SECRET] z", "a [SECRET] z", "a [SECRET]\nsome more words", "a [SECRET] as a name only", "a [SECRET] z", "a [SECRET] b [SECRET] z", "a [SECRET] z", "a [SECRET] z"]
+
+
 # 3
 
 

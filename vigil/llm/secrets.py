@@ -41,10 +41,15 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+#: A private key with its END line, or else its base64 block: long runs, and a last short line. Line ends may be written out.
+HEADER = r"-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"
+TO_END = r"[^-]*(?:-[^-]+){0,64}-----END (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"
+ARMOUR = r"(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\n]*)*"
+BLOCK = ARMOUR + r"(?:[\x20\t\r\n\\rn]*[A-Za-z0-9+/=]{16,})*(?:[\r\n]+[A-Za-z0-9+/]{1,15}={0,2}(?m:$))?"
 ADDED = (
-    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,250}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"),
+    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("private_key", HEADER + "(?:" + TO_END + "|" + BLOCK + ")"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 RULES = BASE + ADDED
