@@ -156,7 +156,7 @@ SQL: dict[str, str] = {
     "c11_condition_changes": sql("SELECT DISTINCT member_id FROM links WHERE member_id % 9 = 0 AND condition = '1-URGENT'", "links"),
     "c12_next_state": sql(STATE + "SELECT member_id, coalesce(new_city, old_city) AS city_id, age_band, active FROM act", "members"),
     "c13_current_conditions": sql(STATE + "SELECT member_id, condition FROM links WHERE member_id IN (SELECT member_id FROM act WHERE active)", "members", "links"),
-    "c14_reference_integrity": """WITH l AS (SELECT o_custkey AS member_id, o_orderpriority AS condition FROM orders WHERE o_orderkey % 4 = 0) SELECT violation, count(*) AS n, count(DISTINCT member_id) AS ids FROM (
+    "c14_reference_integrity": """WITH l AS (SELECT o_custkey AS member_id, o_orderpriority AS condition FROM orders) SELECT violation, count(*) AS n, count(DISTINCT member_id) AS ids FROM (
       SELECT 'orphan_link' AS violation, member_id FROM l WHERE member_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0) UNION ALL SELECT 'repeated_link', member_id FROM l GROUP BY member_id, condition HAVING count(*) > 1) GROUP BY violation""",
     "c15_manifest_mismatches": sql("SELECT DISTINCT city_id FROM members WHERE city_id = 'EUROPE' AND member_id % 2 <> 0 UNION SELECT city_id FROM members WHERE city_id = 'ASIA' AND member_id = 1 AND age_band <> '60+'", "members"),
     "c16_version_id": "SELECT substr(sha256(n || ':' || h), 1, 12) AS version_id FROM (SELECT count(*) AS n, sum(('0x' || substr(md5(concat_ws(chr(31), p_brand, p_partkey::VARCHAR, p_size::VARCHAR)), 1, 15))::BIGINT)::HUGEINT::VARCHAR AS h FROM part)",

@@ -82,12 +82,11 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "members": (("customers",), """SELECT c_custkey AS member_id, city_id, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '60+' WHEN c_mktsegment = 'HOUSEHOLD' THEN '40-59' ELSE '18-39' END AS age_band,
         (['app', 'sms', 'call'])[c_custkey % 3 + 1] AS preferred_channel, c_acctbal >= 0 AS outreach_consent FROM customers"""),
     "links": ((), "SELECT DISTINCT o_custkey AS member_id, o_orderpriority AS condition FROM orders"),
-    "focus": (("daily",), "SELECT * FROM daily WHERE rule_id IN ('R1', 'R4') AND decision_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'"),
-    "exposure": (("members", "links", "focus", "relevance"), f"""SELECT decision_date, member_id, m.city_id, age_band, preferred_channel, outreach_consent, rule_id, signal_name, severity, severity_rank, window_start, window_end, hours, action_timing, trigger_explanation, metrics,
+    "exposure": (("members", "links", "daily", "relevance"), f"""SELECT decision_date, member_id, m.city_id, age_band, preferred_channel, outreach_consent, rule_id, signal_name, severity, severity_rank, window_start, window_end, hours, action_timing, trigger_explanation, metrics,
           array_to_string(list_sort(list_distinct(list(condition))), '|') AS matched_conditions, array_to_string(list_sort(list_distinct(list(relevance))), '|') AS matched_relevance_levels,
           max({RANK.format("severity")} + CASE relevance WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END + CASE age_band WHEN '60+' THEN 1 ELSE 0 END) AS priority_score,
           outreach_consent AS outreach_eligible, CASE WHEN NOT outreach_consent THEN 'no_outreach_consent' END AS outreach_ineligibility_reason
-        FROM members m JOIN links USING (member_id) JOIN focus f USING (city_id) JOIN relevance USING (rule_id, condition) GROUP BY ALL"""),
+        FROM members m JOIN links USING (member_id) JOIN daily f USING (city_id) JOIN relevance USING (rule_id, condition) GROUP BY ALL"""),
     "workload": (("exposure", "members", "summary", "cities"), """SELECT s.decision_date, s.city_id, coalesce(at_risk_members, 0) AS at_risk_members, coalesce(contactable_members, 0) AS contactable_members, coalesce(high_priority_members, 0) AS high_priority_members,
           coalesce(active_conditions, 0) AS active_conditions, coalesce(maximum_severity_rank, 0) AS maximum_severity_rank, total_members, round(100.0::DOUBLE * coalesce(at_risk_members, 0) / nullif(total_members, 0), 2) AS at_risk_percentage
         FROM (SELECT DISTINCT decision_date, city_id FROM summary) s
@@ -121,5 +120,3 @@ def sql(select: str, *names: str) -> str:
         need(name)
     # a select may begin with parts of its own, after a comma
     return "WITH " + ",\n".join(f"{n} AS ({PARTS[n][1]})" for n in order) + ("" if select.startswith(",") else "\n") + select
-
-
