@@ -7,24 +7,31 @@ steps, both by token-group matrices.
 Coarse: for sets whose sizes lie in one range, two sets that link differ in at
 most k shingles. Cut the hash space into m = k + s slices: they agree on s slices
 at least. A slice with the shingles that a set has in it is a coarse token; of
-its m coarse tokens a set keeps the first k + OVERLAP in a fixed order (most
-shingles first, then by hash), and two sets that link share OVERLAP of those at
-least. Frequent passages do no harm, as a coarse token holds other shingles
+its m coarse tokens a set keeps the first k + o in a fixed order (most shingles
+first, then by hash), and two sets that link share o of those at least, for o up
+to s. Frequent passages do no harm, as a coarse token holds other shingles
 besides. Ranges overlap, so that any two sizes which can link lie in one range.
-Sets that share a coarse token are dealt into groups of similar ones, by the
-most shared coarse token they have; the matrix holds each group's union of coarse
-tokens, and two groups are opened for each other if the unions share OVERLAP.
+Sets that share too few tokens with all others together take no further part.
 
-Fine: in an opened pair of groups a query set goes on only if its overlap with the
-union of the other group's shingles reaches the threshold times its size; then
-its exact overlaps with the members decide. Links become a spanning forest there,
-and the components of all forests' edges give the result.
+The rest are dealt into groups of similar ones: a token's hub is one of its sets,
+the same one for most tokens of a family, and sets with the same hub, or hub of
+hubs, are grouped. Links within the groups are found first, each group with the
+hub of hubs besides, so that a family of linked copies is one component by then.
+The matrix holds each group's union of coarse tokens; two groups are opened for
+each other if the unions share o tokens that sets of different components have.
+
+Fine: in an opened pair of groups the smaller one's sets are queries to the larger
+one. A query goes on only if its overlap with the union of that group's shingles
+reaches the threshold times its size; then its exact overlaps with the members
+decide. Links become a spanning forest there, and the components of all forests'
+edges give the result.
 
 Defined results: null and empty texts, or texts without words, have empty sets of
 size 0, and are components of their own; with fewer words than a shingle has, the
 whole sequence is the one shingle; a null id gets a null component and takes no
-part; ids are taken as unique, repeated rows get equal results; columns beside
-doc_id and text are passed on untouched by ``one_of_each``.
+part; rows that repeat an id are told apart by their sets, and ``one_of_each`` drops
+all rows of an id if it drops one; columns beside doc_id and text are passed on
+untouched by it.
 """
 
 from __future__ import annotations
@@ -34,20 +41,24 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import U64, Powers, byte_values, mix64, separators, shared_dir, signed, slices, stored, table, words
 from vigil.llm.components import components
 
-#: Coarse tokens that two sets which link must share at least.
-OVERLAP = 2
-#: Documents in a group at most; larger groups of similar documents are split.
-GROUP = 256
-#: Coarse tokens in a bucket, about.
-BUCKET = 500_000
+#: Sets in a group at most, and their shingles, about; larger groups of similar sets are split. Queries of a task, as groups.
+GROUP, SHINGLES, QUERIES = 256, 1_000_000, 4
+#: Coarse tokens in a bucket, about, and those that a task gathers before it passes them on.
+BUCKET, FLUSH = 1_000_000, 2_000_000
+#: Places in a block.
+PLACE_BITS = 15
+PLACES = 1 << PLACE_BITS
+#: Rows up to which the sets to fetch are broadcast.
+FEW = 1_000_000
 #: Columns of a dense block when members are compared.
-COLUMNS = 8192
+COLUMNS = 4096
 
 
 def shingle_sets(column: pa.Array, width: int, powers: Powers) -> Iterator[np.ndarray]:
@@ -74,19 +85,6 @@ def signature(found: np.ndarray) -> tuple[int, int]:
         return int(signed(mix64(found).sum(dtype=U64).reshape(1))[0]), int(signed(np.bitwise_xor.reduce(mix64(found + U64(0x632BE59BD9B4E019))).reshape(1))[0])
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, sig_a, sig_b) of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            rows = [(len(x), *(signature(x) if len(x) else (0, 0))) for x in shingle_sets(batch["text"], width, powers)]
-            n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["doc_id", "n_shingles", "sig_a", "sig_b"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, sig_a long, sig_b long")
-
-
 class Ranges:
     """Ranges of set sizes. Class c holds sizes below bounds[c + 1]; range r is made of classes r - 1 and r."""
 
@@ -94,11 +92,15 @@ class Ranges:
         self.percent, self.bounds = percent, [1]
 
     def of(self, n: int) -> tuple[int, int]:
-        """The class of a size; its ranges are this and the next."""
+        """The class of a size."""
         while self.bounds[-1] <= n:  # the least size that can no longer link with the class's least
             self.bounds.append(self.bounds[-1] * 100 // self.percent + 1)
         return int(np.searchsorted(self.bounds, n, side="right")) - 1
 
+    def both(self, n: int) -> tuple[int, int]:
+        c = self.of(n)
+        return c, c + 1
+
     def differing(self, r: int) -> int:
         """Shingles in which two sets of range r that link can differ at most."""
         while len(self.bounds) < r + 2:
@@ -106,67 +108,107 @@ class Ranges:
         return 2 * (self.bounds[r + 1] - 1) * (100 - self.percent) // (100 + self.percent)
 
 
-def coarse_tokens(found: np.ndarray, ranges: Ranges) -> np.ndarray:
-    """The coarse tokens that a set keeps, in its two ranges."""
-    out, c = [], ranges.of(len(found))
+def needed(k: int) -> int:
+    """Coarse tokens that two sets which link must share at least: a tenth of k, and two."""
+    return max(2, ceil(k / 10))
+
+
+def coarse_tokens(found: np.ndarray, ranges: Ranges) -> Iterator[np.ndarray]:
+    """The coarse tokens that a set keeps, in each of its two ranges."""
     with np.errstate(over="ignore"):
         sums = np.zeros(len(found) + 1, dtype=U64)
         np.cumsum(mix64(found), out=sums[1:])
-        for r in (c, c + 1):
+        for r in ranges.both(len(found)):
             k = ranges.differing(r)
             if not k:  # only equal sets link
+                yield np.zeros(0, dtype=U64)
                 continue
-            m = k + max(OVERLAP, ceil(0.3 * k))
+            m = k + max(needed(k), ceil(0.3 * k))
             cut = np.searchsorted(((found >> U64(32)) * U64(m)) >> U64(32), np.arange(m + 1, dtype=U64))
             tokens = mix64(sums[cut[1:]] - sums[cut[:-1]] + mix64(np.arange(m, dtype=U64) + U64(r << 32)))
-            out.append(tokens[np.lexsort((tokens, cut[:-1] - cut[1:]))[: k + OVERLAP]])
-    return np.concatenate(out) if out else np.zeros(0, dtype=U64)
+            yield tokens[np.lexsort((tokens, cut[:-1] - cut[1:]))[: k + needed(k)]]
 
 
-def coarse_postings(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """(token, doc_ids) for coarse tokens that several sets have. A task passes on each distinct set once."""
+def emitted(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Rows to be grouped by bucket: one for each document (bucket below 0), and packed coarse tokens of distinct sets.
+
+    block and place make a node, which stands for a distinct set of a task. A token is 4 bytes within its bucket, a
+    place 2, of which the top bit tells the range. The split into blocks follows the rows alone.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["bucket", "block", "tokens", "places", "doc_id", "node", "n_shingles", "sig_a", "sig_b", "need_a", "need_b"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, ranges, seen, size, tokens, ids = Powers(), Ranges(percent), set(), 0, [], []
+        powers, ranges, seen, block = Powers(), Ranges(percent), set(), TaskContext.get().partitionId() << 24
+        tokens, places, size = [], [], 0
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), None, *[pa.int64()] * 6]
+
+        def rows(n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns.get(x, pa.nulls(n, t)) for x, t in zip(names, types, strict=True)], names=names)
 
         def packed() -> pa.RecordBatch:
-            token, doc = np.concatenate(tokens), np.concatenate(ids)
+            token, place = np.concatenate(tokens), np.concatenate(places)
             order = np.argsort(token)
-            token, doc = token[order], doc[order]
+            token, place = token[order], place[order]
             cut = np.searchsorted(((token >> U64(32)) * U64(buckets)) >> U64(32), np.arange(buckets + 1, dtype=U64))
-            full = np.flatnonzero(cut[1:] > cut[:-1])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([token[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()), pa.array([doc[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary())],
-                names=["bucket", "tokens", "ids"],
-            )
+            full, token = np.flatnonzero(cut[1:] > cut[:-1]), token.astype(np.uint32)
+            return rows(len(full), {
+                "bucket": pa.array(full, pa.int32()), "block": pa.array(np.full(len(full), block)),
+                "tokens": pa.array([token[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()), "places": pa.array([place[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()),
+            })
 
         for batch in batches:
-            for doc, found in zip(batch["doc_id"].to_pylist(), shingle_sets(batch["text"], width, powers), strict=True):
-                if doc is None or not len(found) or (key := signature(found)) in seen:
-                    continue
-                seen.add(key)
-                tokens.append(coarse_tokens(found, ranges))
-                ids.append(np.full(len(tokens[-1]), doc, dtype=np.int64))
-                size += len(tokens[-1])
-                if size >= 2_000_000:
-                    yield packed()
-                    size, tokens, ids = 0, [], []
+            types[4], found = batch["doc_id"].type, []
+            for doc, x in zip(batch["doc_id"].is_valid().to_pylist(), shingle_sets(batch["text"], width, powers), strict=True):
+                key, needs = signature(x) if len(x) else (0, 0), [needed(ranges.differing(r)) for r in ranges.both(len(x))] if len(x) else [0, 0]
+                node = None
+                if doc and len(x) and key not in seen:
+                    if size >= FLUSH or len(tokens) == 2 * PLACES:
+                        yield packed()
+                        tokens, places, size, block = [], [], 0, block + 1
+                    seen.add(key)
+                    place = len(tokens) // 2
+                    node = (block << PLACE_BITS) | place
+                    for own, bit in zip(coarse_tokens(x, ranges), (0, PLACES), strict=True):
+                        tokens.append(own)
+                        places.append(np.full(len(own), place + bit, dtype=np.uint16))
+                        size += len(own)
+                found.append((node, len(x), *key, *needs))
+            columns = dict(zip(names[5:], (pa.array(x, pa.int64()) for x in zip(*found, strict=True)), strict=True)) if found else {}
+            yield rows(len(found), {"bucket": pa.array(-1 - np.arange(len(found)) % buckets, pa.int32()), "doc_id": batch["doc_id"], **columns})
         if size:
             yield packed()
 
-    def shared(part: pa.Table) -> pa.Table:
-        token = np.concatenate([np.frombuffer(x, dtype=U64) for x in part["tokens"].to_pylist()])
-        doc = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in part["ids"].to_pylist()])
-        order = np.lexsort((doc, token))
-        token, doc = token[order], doc[order]
-        fresh = np.ones(len(token), dtype=bool)
-        fresh[1:] = token[1:] != token[:-1]
-        starts = np.append(np.flatnonzero(fresh), len(token))
-        several = np.flatnonzero(np.diff(starts) > 1)
-        lists = [doc[starts[i] : starts[i + 1]] for i in several]
-        return pa.table([pa.array(signed(token[starts[several]])), pa.array(lists, pa.list_(pa.int64()))], names=["token", "doc_ids"])
+    return docs.mapInArrow(emit, f"bucket int, block long, tokens binary, places binary, doc_id {kind}, node long, n_shingles long, sig_a long, sig_b long, need_a long, need_b long")
 
-    return docs.select("doc_id", "text").mapInArrow(emit, "bucket int, tokens binary, ids binary").groupBy("bucket").applyInArrow(shared, "token long, doc_ids array<long>")
+
+def coarse_postings(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """(doc_id, node, n_shingles, sig_a, sig_b, need_a, need_b) of every document, and (token, node, other) of coarse tokens that
+    several nodes have; other tells that the token is of the second range."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "node", "n_shingles", "sig_a", "sig_b", "need_a", "need_b"]
+
+    def shared(part: pa.Table) -> pa.Table:
+        bucket = part["bucket"][0].as_py()
+        if bucket < 0:
+            n = part.num_rows
+            return part.select(names).append_column("token", pa.nulls(n, pa.int64())).append_column("other", pa.nulls(n, pa.bool_()))
+        token = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in part["tokens"].to_pylist()])
+        at = [np.frombuffer(x, dtype=np.uint16).astype(np.int64) for x in part["places"].to_pylist()]
+        place = np.concatenate(at)
+        node = np.repeat(part["block"].to_numpy(), [len(x) for x in at]) << PLACE_BITS | (place & (PLACES - 1))
+        order = np.argsort(token, kind="stable")
+        token, node, other = token[order], node[order], place[order] >= PLACES
+        fresh = np.ones(len(token) + 1, dtype=bool)
+        fresh[1:-1] = token[1:] != token[:-1]
+        several = ~(fresh[:-1] & fresh[1:])
+        n, kinds = int(several.sum()), {"doc_id": part["doc_id"].type}
+        columns = {x: pa.nulls(n, kinds.get(x, pa.int64())) for x in names}
+        columns |= {"node": pa.array(node[several]), "token": pa.array((np.int64(bucket) << 32) + token[several].astype(np.int64)), "other": pa.array(other[several])}
+        return pa.table([columns[x] for x in [*names, "token", "other"]], names=[*names, "token", "other"])
+
+    rows = emitted(docs, width, percent, buckets).groupBy("bucket")
+    return rows.applyInArrow(shared, f"doc_id {kind}, node long, n_shingles long, sig_a long, sig_b long, need_a long, need_b long, token long, other boolean")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -202,8 +244,8 @@ def links(queries: list[np.ndarray], members: list[np.ndarray], percent: int) ->
         return opened, opened
     used = union[np.unique(np.concatenate([inside[i] for i in opened]))]
     sides = [places(used, queries[i]) for i in opened], [places(used, x) for x in members]
-    overlap = np.zeros((len(opened), len(members)), dtype=np.float32)
-    for low in range(0, len(used), COLUMNS):
+    overlap = np.zeros((len(opened), len(members)))
+    for low in range(0, len(used), COLUMNS):  # a block's products are whole numbers that float32 holds; their sum is kept in float64
         blocks = []
         for side in sides:
             block = np.zeros((len(side), min(COLUMNS, len(used) - low)), dtype=np.float32)
@@ -216,73 +258,124 @@ def links(queries: list[np.ndarray], members: list[np.ndarray], percent: int) ->
     return opened[q], m
 
 
-def verified(pairs: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the links in each opened pair of groups (pair, side, doc_id, shingles)."""
+def verified(sides: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) of a spanning forest of the links between the sides of each task (target, chunk, side, node, shingles); with one side, within it."""
 
     def run(part: pa.Table) -> pa.Table:
-        side, ids = part["side"].to_numpy(), part["doc_id"].to_numpy()
+        side, ids = part["side"].to_numpy(), part["node"].to_numpy()
         sets = [np.frombuffer(x, dtype=U64) for x in part["shingles"].to_pylist()]
         first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        second = second if len(second) else first  # a group opened for itself
-        q, m = links([sets[i] for i in first], [sets[i] for i in second], percent)
-        a, b = ids[first[q]], ids[second[m]]
-        edges = list(forest(a[a != b], b[a != b]))
+        first = first if len(first) else second  # a group opened for itself
+        edges = []
+        if len(second):
+            q, m = links([sets[i] for i in first], [sets[i] for i in second], percent)
+            a, b = ids[first[q]], ids[second[m]]
+            edges = list(forest(a[a != b], b[a != b]))
         return pa.table([pa.array([x for x, _ in edges], pa.int64()), pa.array([y for _, y in edges], pa.int64())], names=["a", "b"])
 
-    return pairs.groupBy("pair").applyInArrow(run, "a long, b long")
+    return sides.groupBy("target", "chunk").applyInArrow(run, "a long, b long")
 
 
-def shingles_of(docs: DataFrame, width: int) -> DataFrame:
-    """docs with their sets as 8 bytes a shingle, instead of the text."""
-    names = [x for x in docs.columns if x != "text"]
+def shingles_of(texts: DataFrame, width: int) -> DataFrame:
+    """(node, group, shingles) of texts (node, group, sig_a, sig_b, text): 8 bytes a shingle. A text of another set, where an id repeats, is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             for low in range(0, max(1, batch.num_rows), 200):
                 part = batch.slice(low, 200)
-                sets = pa.array([x.tobytes() for x in shingle_sets(part["text"], width, powers)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part[x] for x in names), sets], names=[*names, "shingles"])
-
-    schema = ", ".join(f"{x} {docs.schema[x].dataType.simpleString()}" for x in names)
-    return docs.mapInArrow(run, f"{schema}, shingles binary")
+                sets = list(shingle_sets(part["text"], width, powers))
+                own = [i for i, key in enumerate(zip(part["sig_a"].to_pylist(), part["sig_b"].to_pylist(), strict=True)) if len(sets[i]) and signature(sets[i]) == key]
+                at = pa.array(own, pa.int64())
+                yield pa.RecordBatch.from_arrays([part["node"].take(at), part["group"].take(at), pa.array([sets[i].tobytes() for i in own], pa.binary())], names=["node", "group", "shingles"])
+
+    return texts.select("node", "group", "sig_a", "sig_b", "text").mapInArrow(run, "node long, group long, shingles binary")
+
+
+def grouped(entries: DataFrame) -> DataFrame:
+    """(class, group, root, weight): groups of similar sets, from entries (token, class, need, n_shingles, hub).
+
+    A set's hub is the one of its tokens' hubs that most of them have, its root the hub of hubs. The sets of a hub are
+    groups of their own if they fill half of one at least; those of the root's other hubs are groups together.
+    """
+    one = F.first("n_shingles").alias("n_shingles")
+    hubs = entries.groupBy("class", "hub").agg(F.count("*").alias("k"), one).groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), one).checkpoint()
+    root = hubs.select("class", F.col("hub").alias("root"))
+    for _ in range(2):  # twice doubled: four steps
+        root = root.join(root.toDF("root", "up"), "root", "left").select("class", F.coalesce("up", "root").alias("root"))
+    weight = 1 / F.lit(GROUP) + F.col("n_shingles") / F.lit(SHINGLES)
+    wide = hubs.withColumn("weight", weight).join(root, "class")
+    wide = wide.join(hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")), "hub")
+    rest = wide.filter("of_hub < 0.5").groupBy("root").agg(F.sum("weight").alias("of_root"))
+    own = F.xxhash64(F.lit(1), "hub", F.pmod(F.xxhash64("class"), F.ceil("of_hub")))
+    common = F.xxhash64(F.lit(0), "root", F.pmod(F.xxhash64("hub"), F.ceil("of_root")))
+    return wide.join(rest, "root", "left").select("class", F.when(F.col("of_hub") >= 0.5, own).otherwise(common).alias("group"), "root", "weight")
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     shared_dir(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    found = stored(sketches(docs, width))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a shingle in six bytes of text; a set keeps about 2.6 k tokens in its two ranges
+    buckets = max(8, ceil(size / 6 * 2.6 * (100 - percent) / (100 + percent) / BUCKET))
+    rows = stored(coarse_postings(docs, width, percent, buckets))
+
     keys = ["sig_a", "sig_b", "n_shingles"]
-    classes = found.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("class_id"))
-    total = found.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(8, ceil(total * 2.4 * (100 - percent) / (100 + percent) / BUCKET))
-
-    postings = stored(coarse_postings(docs, width, percent, buckets))
-    # postings of equal sets that different tasks saw lead to one class
-    member = found.join(classes, keys).select("doc_id", "class_id")
-    lists = postings.select("token", F.explode("doc_ids").alias("doc_id")).join(member, "doc_id").select("token", "class_id").distinct()
-    lists = lists.withColumn("size", F.count("*").over(Window.partitionBy("token"))).filter("size > 1").checkpoint()
-    anchors = lists.groupBy("class_id").agg(F.max_by("token", F.struct("size", "token")).alias("anchor"))
-    sizes = anchors.groupBy("anchor").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
-    groups = anchors.join(sizes, "anchor").select("class_id", F.xxhash64("anchor", F.pmod(F.xxhash64("class_id"), "blocks")).alias("group")).checkpoint()
-
-    matrix = lists.join(groups, "class_id").select("token", "group").distinct()
-    left, right = matrix.toDF("token", "g"), matrix.toDF("token", "h")
-    opened = left.join(right, "token").filter("g < h").groupBy("g", "h").agg(F.count("*").alias("shared")).filter(F.col("shared") >= OVERLAP)
-    itself = groups.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1")
-    pairs = opened.select("g", "h").unionByName(itself.select(F.col("group").alias("g"), F.lit(None).cast("long").alias("h")))
-    sides = pairs.withColumn("pair", F.xxhash64("g", "h")).select("pair", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("g").alias("group")), F.struct(F.lit(1).alias("side"), F.col("h").alias("group")))).alias("s"))
-    sides = sides.select("pair", "s.side", "s.group").filter("group is not null")
-
-    texts = docs.join(groups.withColumnRenamed("class_id", "__class"), F.col("doc_id") == F.col("__class")).select("doc_id", "text", "group")
-    sets = shingles_of(texts, width)
-    edges = verified(sides.join(sets, "group").select("pair", "side", "doc_id", "shingles"), percent)
-    linked = components(edges).toDF("class_id", "component")
-    labelled = classes.join(linked, "class_id", "left").select(*keys, F.coalesce("component", "class_id").alias("component_id"))
-    rest = found.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    full = found.filter("n_shingles > 0").join(labelled, keys).select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    return full.unionByName(rest)
+    found = rows.filter("token IS NULL")
+    classes = found.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("least"), F.min("node").alias("class"), F.count("*").alias("copies"))
+    classes = stored(classes)
+    nodes = found.filter("node IS NOT NULL").join(classes.select(*keys, "class"), keys).select("node", "class", "n_shingles", "need_a", "need_b")
+    entries = rows.filter("token IS NOT NULL").select("token", "node", "other").join(nodes, "node").select("token", "class", "n_shingles", F.when(F.col("other"), F.col("need_b")).otherwise(F.col("need_a")).alias("need"))
+    # equal sets that different tasks saw are one class
+    entries = entries.repartition("token").groupBy("token", "class").agg(F.first("n_shingles").alias("n_shingles"), F.first("need").alias("need"))
+    token, own = Window.partitionBy("token"), Window.partitionBy("class", "need")
+    entries = entries.withColumns({"sets": F.count("*").over(token), "hub": F.min_by("class", F.xxhash64("class")).over(token)}).filter("sets > 1").drop("sets")
+    entries = entries.repartition("class").withColumn("shared", F.count("*").over(own)).filter("shared >= need").drop("shared").checkpoint()
+
+    groups = grouped(entries).checkpoint()
+    names = found.filter("node IS NOT NULL").select("doc_id", "node", "sig_a", "sig_b").join(groups.select(F.col("class").alias("node"), "group"), "node")
+    few = groups.count() <= FEW  # what is broadcast is of a checked size
+    sets = stored(shingles_of(docs.join(F.broadcast(names) if few else names, "doc_id"), width))
+
+    # first within groups, each with its root besides; what that links need not be opened again
+    inside = groups.select(F.col("class").alias("node"), F.col("group").alias("target")).union(groups.select("root", "group").distinct()).distinct()
+    first = verified(inside.join(sets.drop("group"), "node").select("target", F.lit(0).alias("chunk"), F.lit(1).alias("side"), "node", "shingles"), percent).checkpoint()
+    linked = components(first).toDF("class", "component")
+    matrix = entries.select("token", "class", "need").join(groups.select("class", "group"), "class").join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    matrix = matrix.groupBy("token", "need", "group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    left, right = matrix.toDF("token", "need", "g", "low_g", "high_g"), matrix.drop("need").toDF("token", "h", "low_h", "high_h")
+    across = left.join(right, "token").filter("g < h AND NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
+    opened = across.groupBy("g", "h", "need").agg(F.count("*").alias("shared")).filter("shared >= need").select("g", "h").distinct()
+
+    # the smaller group's sets are queries to the larger one, in chunks
+    sizes = groups.groupBy("group").agg(F.sum("weight").alias("size"))
+    pairs = opened.join(sizes.toDF("g", "size_g"), "g").join(sizes.toDF("h", "size_h"), "h")
+    larger = F.struct("size_g", "g") > F.struct("size_h", "h")
+    pairs = pairs.select(F.when(larger, F.col("g")).otherwise(F.col("h")).alias("target"), F.when(larger, F.col("h")).otherwise(F.col("g")).alias("group"), F.least("size_g", "size_h").alias("size")).checkpoint()
+    chunks = pairs.groupBy("target").agg(F.ceil(F.sum("size") / QUERIES).alias("chunks"))
+    asked = pairs.join(chunks, "target").select("target", F.pmod(F.xxhash64("group"), "chunks").alias("chunk"), F.lit(0).alias("side"), "group")
+    told = chunks.select("target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("side"), F.col("target").alias("group"))
+    second = verified(asked.unionByName(told).join(sets, "group").select("target", "chunk", "side", "node", "shingles"), percent)
+
+    linked = components(first.unionByName(second).checkpoint()).toDF("class", "component")
+    labelled = classes.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    labelled = labelled.join(smallest, "component").select(*keys, "component_id", "copies")
+    return with_components(found, labelled, keys)
+
+
+def with_components(found: DataFrame, labelled: DataFrame, keys: list[str]) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of all rows. Sets that more than a ten-thousandth of the rows have are at most
+    ten thousand, so they are broadcast, and no key of the other join is hot."""
+    own = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    total = found.count()
+    often = F.col("copies") * 10_000 > total
+    filled = found.filter("n_shingles > 0").select("doc_id", *keys)
+    hot = F.broadcast(labelled.filter(often).drop("copies"))
+    parts = [filled.join(hot, keys), filled.join(hot, keys, "left_anti").join(labelled.filter(~often), keys)]
+    bare = found.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return parts[0].select("doc_id", "n_shingles", own).unionByName(parts[1].select("doc_id", "n_shingles", own)).unionByName(bare)
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
