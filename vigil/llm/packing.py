@@ -14,7 +14,8 @@ Defined results: null and empty texts are the end id alone; a null id is packed
 like any other; rows that repeat an id are packed each for itself (sequence ids
 are unique, pieces of such rows cannot be told apart by their ids); columns
 beside doc_id and text take no part; a special token's own text is that token, as
-the vocabulary's file says.
+the vocabulary's file says; texts may be of any length and kind, a run of one
+character a million times included.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import shared_dir, stored, table
 
 SHARD = 4096
-VOCABULARY, SPECIAL, END = "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}, 2
+VOCABULARY, RANKS, SPECIAL, END = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}, 2
 
 
 class Capacity(NamedTuple):
@@ -52,14 +53,28 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str):
-    """The vocabulary as ranks: the same ids as those of its tokenizers file, several times as fast."""
-    import public_tokenizers
-    import tiktoken
+class Encoder:
+    """Ids of the vocabulary. Its ranks give the ids of its tokenizers file, several times as fast, but not for very long
+    runs of white space, on which their library gives up: such texts are left to the tokenizers file."""
+
+    def __init__(self, vocabulary: str, ranks: str) -> None:
+        import public_tokenizers
+        import tiktoken
+
+        with open(ranks, "rb") as f:
+            known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens=SPECIAL)
+        self.vocabulary, self.whole = vocabulary, None
+
+    def ids(self, text: str) -> list[int]:
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:
+            if self.whole is None:
+                from tokenizers import Tokenizer
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+                self.whole = Tokenizer.from_file(self.vocabulary)
+            return self.whole.encode(text, add_special_tokens=False).ids
 
 
 def cuts(n: int, most: int) -> list[tuple[int, int]]:
@@ -68,16 +83,15 @@ def cuts(n: int, most: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, most) for at in range(first, n, most)]
 
 
-def pieces(docs: DataFrame, most: int, path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, most: int, vocabulary: str | None = None, ranks: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path or vocabulary_path())
+        coder = Encoder(vocabulary or vocabulary_path(), ranks or vocabulary_path(RANKS))
         for batch in batches:
             at, rows = [], []
             for i, text in enumerate(batch["text"]):
-                ids = coder.encode(text.as_py() or "", allowed_special="all")
-                ids.append(END)
+                ids = [*coder.ids(text.as_py() or ""), END]
                 data = np.array(ids, dtype="<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), most)):
                     at.append(i)
@@ -120,11 +134,11 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return order, bins, offsets
 
 
-def pack(docs: DataFrame, capacity: Capacity | None = None, path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: Capacity | None = None, vocabulary: str | None = None, ranks: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
     capacity = capacity or Capacity()
     shared_dir(docs.sparkSession)
-    found = stored(pieces(docs, capacity.tokens, path))
+    found = stored(pieces(docs, capacity.tokens, vocabulary, ranks))
     short = found.filter(F.col("length") < capacity.tokens)
     shards = max(1, ceil(short.count() / SHARD))
     # by the content's checksum as well: one id many times does not fill one shard
