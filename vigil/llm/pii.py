@@ -8,7 +8,7 @@ the format of its value, is valid itself, differs between keys, and is equal for
 equal values, wherever they stand: records stay linked across documents. A day is
 the same number in any of its formats.
 
-The values of a document are found by one pattern; where candidates overlap, the
+The values of a document are found by patterns; where candidates overlap, the
 leftmost valid one counts, and of those that begin together the first kind of KINDS,
 at its longest valid end. Equal text before and after is kept byte by byte.
 
@@ -39,8 +39,7 @@ KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date")
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 PATTERN = re.compile(
-    r"""(?P<email>\b[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)
-    |(?P<card>(?<![\w+.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))
+    r"""(?P<card>(?<![\w+.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]))
     |(?P<iban>\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
     |(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
     |(?P<phone>(?<![\w.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![\w-])|(?<![\w.-])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\w-]))
@@ -49,8 +48,12 @@ PATTERN = re.compile(
     re.VERBOSE | re.ASCII,
 )
 SIGN = re.compile(r"[0-9@]")
+#: An address from its sign on, and the characters before it; a local part has MOST_LOCAL at most. Searched from the sign
+#: back, so that no run is read anew from each of its characters.
+DOMAIN, LOCAL_START = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b", re.ASCII), re.compile(r"\b[A-Za-z0-9]", re.ASCII)
+LOCAL, MOST_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"), 64
 #: The pattern of each kind alone, for what else may begin where a candidate failed.
-ALONE = {k: re.compile(part, re.VERBOSE | re.ASCII) for k, part in zip(KINDS, re.split(r"\n    \|(?=\(\?P<)", PATTERN.pattern), strict=True)}
+ALONE = {k: re.compile(part, re.VERBOSE | re.ASCII) for k, part in zip(KINDS[1:], re.split(r"\n    \|(?=\(\?P<)", PATTERN.pattern), strict=True)}
 #: Kinds whose runs may take in what follows the value, each with what may follow a shorter end.
 RUNS = {"card": re.compile(r"(?![\w-])", re.ASCII), "iban": re.compile(r"(?!\w)", re.ASCII), "phone": re.compile(r"(?![\w-])", re.ASCII)}
 
@@ -209,23 +212,40 @@ def value_at(text: str, start: int, first: re.Match, f: Feistel) -> tuple[str, i
     return None
 
 
+def next_email(text: str, at: int) -> tuple[int, int] | None:
+    """(start, end) of the first address that begins at a place or after it."""
+    for domain in DOMAIN.finditer(text, at):
+        sign = low = domain.start()
+        while low > max(at, sign - MOST_LOCAL) and text[low - 1] in LOCAL:
+            low -= 1
+        start = LOCAL_START.search(text, low, sign)
+        if start:
+            return start.start(), domain.end()
+    return None
+
+
 def replaced(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of what they stand for, by places of the old text."""
     if not SIGN.search(text):
         return text, []
     out, found, at = [], [], 0
-    match = PATTERN.search(text)
-    while match:
-        start = match.start()
-        value = value_at(text, start, match, f)
-        if value is None:
-            match = PATTERN.search(text, start + 1)
-            continue
-        kind, end, fresh = value
+    mail, match = next_email(text, 0), PATTERN.search(text)
+    while mail or match:
+        if mail and not (match and match.start() < mail[0]):
+            start, end = mail
+            kind, fresh = "email", email(text[start:end], f)
+        else:
+            start = match.start()
+            value = value_at(text, start, match, f)
+            if value is None:
+                match = PATTERN.search(text, start + 1)
+                continue
+            kind, end, fresh = value
         out += [text[at:start], fresh]
         found.append((kind, start, end))
         at = end
-        match = PATTERN.search(text, end)
+        match = PATTERN.search(text, at) if match and match.start() < at else match
+        mail = next_email(text, at) if mail and mail[0] < at else mail
     return "".join([*out, text[at:]]) if found else text, found
 
 
