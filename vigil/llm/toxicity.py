@@ -1,15 +1,19 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
 A bounded sample of labelled rows (SAMPLE a class, the smallest hashes of the id)
-gives the examples and the vocabulary: terms that texts of label 1 hold more often,
-by chi-square. Terms are words and beginnings of words, each once more for texts that
-hold it often, so that the weight of a term's frequency is the idf of its levels.
-Document frequencies are those of all documents. Examples lie in an
-inverted index in blocks, with the largest weight of each term in each block; a
-query opens blocks by falling bound, and stops when no bound reaches its k-th
-similarity, so the neighbours are exact. They vote by the square of similarity;
-votes are weighed so that the sample's class shares become those of all labels
-learned from. The nearest examples' ids come along as evidence.
+gives the examples, and all their terms, of either label, the vocabulary. Terms are
+words and beginnings of words, each once more for texts that hold it often: a term's
+frequency counts by the levels that it reaches. A term weighs its idf, over all
+documents; terms that tell the labels apart beyond chance weigh as many times more
+as their chi-square exceeds LEAST, since in a long text the few telling words would
+not count otherwise. Texts are unit vectors of all their terms of the vocabulary.
+Examples lie in an inverted index in blocks, with the largest weight of each term in
+each block; a query opens blocks by falling bound, and stops when no bound reaches
+its k-th similarity, so the neighbours are exact. They vote by the square of
+similarity; votes are weighed so that the sample's class shares become those of all
+labels learned from. A logistic curve from votes to labels, fitted to the examples
+with each scored by the others, makes scores of the votes. The nearest examples' ids
+come along as evidence.
 
 Defined results: texts without a term of the vocabulary (null and empty ones, too)
 get the share of label 1 among examples without one; ties between examples go to
@@ -31,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64, received, sent, signed, slices, stored, table, words
+from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64, received, sent, sigmoid, signed, slices, stored, table, words
 
-#: Examples of each class, terms, and the least chi-square of one; votes; examples in a block.
-SAMPLE, VOCABULARY, LEAST, NEAREST, BLOCK = 2000, 512, 20.0, 15, 32
-#: Blocks that a query opens at a time; rows in a task that scores.
-OPENED, SCORED = 8, 4000
+#: Examples of each class; terms at most (those that fewest examples hold go first); the chi-square beyond which a term
+#: weighs more; votes; examples in a block.
+SAMPLE, VOCABULARY, LEAST, NEAREST, BLOCK = 1000, 2**20, 10.0, 15, 32
+#: Blocks that a query opens first, and twice as many each time after; examples in a task that scores them; terms in a chunk of counts.
+OPENED, SCORED, CHUNK = 8, 500, 2**16
 #: Bytes of the beginnings of longer words that are terms; occurrences that make one more term of a term.
 BEGINNINGS, LEVELS = (5, 6, 7, 8), (1, 2, 4, 8)
 #: Votes of the prior, beside those of the neighbours.
@@ -88,7 +93,7 @@ def sample_ids(labels: DataFrame) -> DataFrame:
 
 
 def example_terms(docs: DataFrame, picked: DataFrame) -> DataFrame:
-    """(doc_id, toxic, terms) of the sample's documents."""
+    """(doc_id, toxic, terms) of the sample's documents, one for each id; of several texts of an id the least counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -97,109 +102,142 @@ def example_terms(docs: DataFrame, picked: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], terms], names=["doc_id", "toxic", "terms"])
 
     # at most 2 * SAMPLE rows of an id and a label: a proven bound
-    texts = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
+    texts = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(run, f"doc_id {kind}, toxic int, terms array<long>")
 
 
-def telling_terms(examples: DataFrame, ones: int, zeros: int) -> np.ndarray:
-    """At most VOCABULARY terms that the examples of label 1 hold more often, as sorted hashes."""
-    total = float(max(1, ones + zeros))
-    held = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    cross = a * (zeros - b) - b * (ones - a)
-    chi = total * cross * cross / (F.lit(float(max(1, ones * zeros))) * (a + b) * (total - a - b + 0.5))
-    kept = held.withColumn("chi", chi).filter((a + b >= 3) & (F.col("chi") >= LEAST) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "term").limit(VOCABULARY)
-    return np.sort(np.array([r["term"] for r in kept.select("term").collect()], dtype=np.int64).view(U64))
+class Vocabulary(NamedTuple):
+    """The examples' terms as sorted hashes, and how many examples of label 1 and 0 hold each."""
 
+    terms: np.ndarray
+    ones: np.ndarray
+    zeros: np.ndarray
 
-def with_terms(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, terms) of every row: the terms of the vocabulary that it holds, by place there."""
-    bases = np.unique(vocabulary & ~U64(3))
-    place = np.full((len(bases), len(LEVELS)), -1)
-    place[np.searchsorted(bases, vocabulary & ~U64(3)), (vocabulary & U64(3)).astype(np.int64)] = np.arange(len(vocabulary))
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """The terms' hashes without their levels, and for each of those the place of the term of each level, or -1."""
+        bases, row = np.unique(self.terms & ~U64(3), return_inverse=True)
+        place = np.full((len(bases), len(LEVELS)), -1, dtype=np.int32)
+        place[row, (self.terms & U64(3)).astype(np.int64)] = np.arange(len(self.terms))
+        return bases, place
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            terms = []
-            for part in slices(batch["text"]):
-                n = len(part.starts)
-                if not len(bases):
-                    terms += [np.zeros(0, dtype=np.int64)] * n
-                    continue
-                doc, hashes = occurrences(part, powers)
-                at = np.minimum(np.searchsorted(bases, hashes), len(bases) - 1)
-                hit = bases[at] == hashes
-                pair, times = np.unique(doc[hit] * len(bases) + at[hit], return_counts=True)
-                levels = np.where(times[:, None] >= np.array(LEVELS), place[pair % len(bases)], -1)
-                row, column = np.nonzero(levels >= 0)
-                cut = np.searchsorted(pair[row] // len(bases), np.arange(n + 1))
-                found = levels[row, column]
-                terms += [found[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(terms, pa.list_(pa.int32()))], names=["doc_id", "held_out", "terms"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", (crc_bucket("doc_id", 3) == 1).alias("held_out"))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, terms array<int>")
+def vocabulary(examples: DataFrame) -> Vocabulary:
+    held = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    table_ = held.orderBy(F.desc(F.col("a") + F.col("b")), "term").limit(VOCABULARY).toArrow()
+    term = table_["term"].to_numpy().view(U64)
+    order = np.argsort(term)
+    return Vocabulary(term[order], table_["a"].to_numpy()[order].astype(float), table_["b"].to_numpy()[order].astype(float))
 
 
-def document_frequencies(found: DataFrame, size: int) -> np.ndarray:
-    """How many rows hold each term. Tasks count first, so that a row per term and task is summed."""
+def found_terms(column: pa.Array, bases: np.ndarray, place: np.ndarray, powers: Powers) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(terms, cut) of slices of a column: places in the vocabulary, and where each document's begin."""
+    for part in slices(column):
+        n = len(part.starts)
+        if not len(bases):
+            yield np.zeros(0, dtype=np.int32), np.zeros(n + 1, dtype=np.int64)
+            continue
+        doc, hashes = occurrences(part, powers)
+        at = np.minimum(np.searchsorted(bases, hashes), len(bases) - 1)
+        hit = bases[at] == hashes
+        pair, times = np.unique(doc[hit] * len(bases) + at[hit], return_counts=True)
+        levels = np.where(times[:, None] >= np.array(LEVELS), place[pair % len(bases)], -1)
+        row, column_ = np.nonzero(levels >= 0)
+        yield levels[row, column_], np.searchsorted(pair[row] // len(bases), np.arange(n + 1))
+
+
+def document_frequencies(docs: DataFrame, words_: Vocabulary) -> np.ndarray:
+    """How many documents hold each term. A task counts all its documents first and passes on a row per chunk of terms."""
+    size, shared = len(words_.terms), sent(docs.sparkSession, words_.places())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(size, dtype=np.int64)
+        powers, n, (bases, place) = Powers(), np.zeros(size, dtype=np.int64), received(shared)
         for batch in batches:
-            n += np.bincount(batch["terms"].flatten().to_numpy(), minlength=size)
-        held = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(n[held])], names=["term", "n"])
+            for terms, _ in found_terms(batch["text"], bases, place, powers):
+                n += np.bincount(terms, minlength=size)
+        chunks = list(range(0, size, CHUNK))
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array([n[c : c + CHUNK].astype(np.int32).tobytes() for c in chunks], pa.binary())], names=["chunk", "counts"])
+
+    def summed(part: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in part["counts"].to_pylist())
+        return pa.table({"chunk": part["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros(size)
-    for row in found.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # at most VOCABULARY rows
-        out[row["term"]] = row["n"]
+    for row in docs.select("text").mapInArrow(run, "chunk long, counts binary").groupBy("chunk").applyInArrow(summed, "chunk long, counts binary").collect():  # 8 bytes a term
+        counts = np.frombuffer(row["counts"], dtype=np.int64)
+        out[row["chunk"] : row["chunk"] + len(counts)] = counts
     return out
 
 
+def term_weights(words_: Vocabulary, ones: int, zeros: int, frequencies: np.ndarray, documents: int) -> np.ndarray:
+    """The inverse document frequency of each term, times the chi-square of term and label over LEAST where that is more than 1."""
+    a, b, total = words_.ones, words_.zeros, float(max(1, ones + zeros))
+    cross = a * (zeros - b) - b * (ones - a)
+    chi = total * cross * cross / (float(max(1, ones * zeros)) * (a + b) * (total - a - b + 0.5))
+    return (np.log((1 + documents) / (1 + frequencies)) + 1) * np.maximum(1, chi / LEAST)
+
+
 class Example(NamedTuple):
     doc_id: int
     toxic: int
     terms: np.ndarray
 
 
-def weighted(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return idf[terms] / np.sqrt(np.square(idf[terms]).sum())
+def weighted(terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return weight[terms] / np.sqrt(np.square(weight[terms]).sum())
+
+
+def ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges start..stop-1, one range after the other, and how many each has."""
+    n = stop - start
+    return np.repeat(start - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()), n
 
 
 class Index:
-    """Examples with terms of the vocabulary, in blocks of similar ones: postings, and each term's largest weight in each block."""
+    """Examples in blocks of similar ones: for each term its blocks, with the largest weight in each, and the postings there."""
 
-    def __init__(self, examples: list[Example], idf: np.ndarray) -> None:
-        weights = [weighted(e.terms, idf) for e in examples]
-        order = sorted(range(len(examples)), key=lambda i: (int(examples[i].terms[weights[i].argmax()]), -float(weights[i].max()), examples[i].doc_id))
+    def __init__(self, examples: list[Example], weight: np.ndarray) -> None:
+        own = [weighted(e.terms, weight) for e in examples]
+        order = sorted(range(len(examples)), key=lambda i: (int(examples[i].terms[own[i].argmax()]), -float(own[i].max()), examples[i].doc_id))
         self.ids = np.array([examples[i].doc_id for i in order], dtype=np.int64)
         self.toxic = np.array([examples[i].toxic for i in order], dtype=float)
-        self.n_blocks = -(-len(order) // BLOCK)
-        self.matrix = np.zeros((len(idf), self.n_blocks, BLOCK))
-        for place, i in enumerate(order):
-            self.matrix[examples[i].terms, place // BLOCK, place % BLOCK] = weights[i]
-        self.most = self.matrix.max(axis=2)
-        self.idf = idf
+        self.n_blocks, self.weight = -(-len(order) // BLOCK), weight
+        lengths = [len(examples[i].terms) for i in order]
+        term = np.concatenate([examples[i].terms for i in order]) if order else np.zeros(0, dtype=np.int64)
+        place, value = np.repeat(np.arange(len(order)), lengths), np.concatenate([own[i] for i in order]) if order else np.zeros(0)
+        by_term = np.lexsort((place, term))
+        term, self.place, self.value = term[by_term], place[by_term], value[by_term]
+        pair = term * max(1, self.n_blocks) + self.place // BLOCK
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, dtype=np.int64)
+        self.begin = np.append(first, len(pair))  # where the postings of each term and block begin
+        self.block = self.place[first] // BLOCK
+        self.most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0)
+        self.of_term = np.searchsorted(term[first], np.arange(len(weight) + 1))  # where the blocks of each term begin
 
     def nearest(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and similarities of the k nearest examples with any term in common, exactly."""
-        weight = weighted(terms, self.idf)
-        bounds = weight @ self.most[terms]
+        own = weighted(terms, self.weight)
+        pair, n = ranges(self.of_term[terms], self.of_term[terms + 1])
+        own, block = np.repeat(own, n), self.block[pair]
+        bounds = np.bincount(block, own * self.most[pair], minlength=self.n_blocks)
         blocks = np.argsort(-bounds, kind="stable")
         places, similar, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        for low in range(0, len(blocks), OPENED):
-            opened = blocks[low : low + OPENED]
-            if bounds[opened[0]] <= 0 or (len(places) == k and bounds[opened[0]] < least - 1e-12):
+        low, step = 0, OPENED
+        while low < len(blocks):
+            opened = blocks[low : low + step]
+            low, step = low + step, 2 * step
+            if bounds[opened[0]] <= 0 or (len(places) == k and bounds[opened[0]] < least - 1e-9):
                 break
-            own = np.tensordot(weight, self.matrix[terms][:, opened], axes=1).ravel()
-            hit = np.flatnonzero(own > 0)
-            places, similar = np.append(places, opened[hit // BLOCK] * BLOCK + hit % BLOCK), np.append(similar, own[hit])
+            taken = np.zeros(self.n_blocks, dtype=bool)
+            taken[opened] = True
+            taken = taken[block]
+            posting, n = ranges(self.begin[pair[taken]], self.begin[pair[taken] + 1])
+            sums = np.bincount(self.place[posting], np.repeat(own[taken], n) * self.value[posting], minlength=len(self.ids))
+            hit = np.flatnonzero(sums > 0)
+            places, similar = np.append(places, hit), np.append(similar, sums[hit])
             if len(places) > k:
-                top = np.lexsort((self.ids[places], -np.round(similar, 12)))[:k]
+                near = np.flatnonzero(similar >= np.partition(similar, -k)[-k] - 1e-9)
+                top = near[np.lexsort((self.ids[places[near]], -np.round(similar[near], 12)))[:k]]
                 places, similar = places[top], similar[top]
             least = similar.min() if len(places) == k else 0.0
         order = np.lexsort((self.ids[places], -np.round(similar, 12)))
@@ -207,67 +245,95 @@ class Index:
 
 
 class Voter(NamedTuple):
-    """The index, the weight of a vote for either label, the prior, and the score of texts without vocabulary."""
+    """The index, the weight of a vote for either label, the prior, the votes of texts without terms, and the calibration."""
 
     index: Index
     votes: tuple[float, float]
     prior: float
     without: float
-
-    def score(self, doc_id: int | None, places: np.ndarray, similar: np.ndarray) -> tuple[float, list[int]]:
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def raw(self, doc_id: int | None, terms: np.ndarray) -> tuple[float, list[int]]:
+        """The share of votes for label 1, and the ids of the voters, nearest first."""
+        if not len(terms) or not self.index.n_blocks:
+            return self.without, []
+        places, similar = self.index.nearest(terms, NEAREST + 1)
         own = self.index.ids[places] != doc_id if doc_id is not None else np.ones(len(places), dtype=bool)
         places, weight = places[own][:NEAREST], np.square(similar[own][:NEAREST])
         toxic = self.index.toxic[places]
         for_, against = (weight * toxic).sum() * self.votes[1], (weight * (1 - toxic)).sum() * self.votes[0]
         return float((for_ + PRIOR_VOTES * self.prior) / (for_ + against + PRIOR_VOTES)), self.index.ids[places].tolist()
 
+    def score(self, doc_id: int | None, terms: np.ndarray) -> tuple[float, list[int]]:
+        share, voters = self.raw(doc_id, terms)
+        return float(sigmoid(np.array(self.slope * logit(share) + self.shift))), voters
+
+
+def logit(p):
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
+def calibration(shares: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic curve from the votes' logit to the label, by Newton's steps with a small ridge toward no change."""
+    if len(np.unique(toxic)) < 2:
+        return 1.0, 0.0
+    x, at = np.column_stack([logit(shares), np.ones(len(shares))]), np.array([1.0, 0.0])
+    for _ in range(25):
+        p = sigmoid(x @ at)
+        slope = x.T @ (weight * (toxic - p)) - (at - [1.0, 0.0])
+        at = at + np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + np.eye(2), slope)
+    return float(max(at[0], 0.1)), float(at[1])
+
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, evidence) of every row; evidence: ids of the nearest examples, nearest first."""
-    docs = docs.select("doc_id", "text")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     picked = stored(sample_ids(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))))
     examples = stored(example_terms(docs, picked))
-    shares = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = shares.get(1, 0), shares.get(0, 0)
-    vocabulary = telling_terms(examples, ones, zeros)
-    found = stored(with_terms(docs, vocabulary))
-    total = found.count()
-    idf = np.log((1 + total) / (1 + document_frequencies(found, len(vocabulary)))) + 1
-
-    rows = found.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "terms").collect()  # at most a document for each sampled row
-    sampled = [Example(r["doc_id"], r["toxic"], np.array(r["terms"], dtype=np.int64)) for r in rows]
+    words_ = vocabulary(examples)
+    rows = examples.toArrow()  # at most 2 * SAMPLE texts' terms
+    sampled = []
+    for doc_id, toxic, terms in zip(rows["doc_id"].to_pylist(), rows["toxic"].to_pylist(), rows["terms"], strict=True):
+        term = np.array(terms.values.to_numpy() if len(terms) else [], dtype=np.int64).view(U64)
+        at = np.minimum(np.searchsorted(words_.terms, term), max(0, len(words_.terms) - 1))
+        sampled.append(Example(doc_id, toxic, at[words_.terms[at] == term] if len(words_.terms) else at[:0]))
+    ones = sum(e.toxic for e in sampled)
+    zeros = len(sampled) - ones
+    weight = term_weights(words_, ones, zeros, document_frequencies(docs, words_), docs.count())
+
     all_labels = {r["toxic"]: r["n"] for r in labels.filter((crc_bucket("doc_id", 3) != 1) & F.col("toxic").isin(0, 1)).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     labelled = sum(all_labels.values())
     prior = all_labels.get(1, 0) / labelled if labelled else 0.5
     votes = (1 - prior) * len(sampled) / max(1, zeros), prior * len(sampled) / max(1, ones)
     bare = [e for e in sampled if not len(e.terms)]
     for_, against = sum(e.toxic for e in bare) * votes[1], sum(1 - e.toxic for e in bare) * votes[0]
-    without = (for_ + prior) / (for_ + against + 1)
-    voter = sent(docs.sparkSession, Voter(Index([e for e in sampled if len(e.terms)], idf), votes, prior, without))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = received(voter), {}
-        for batch in batches:
-            scores, evidence = [], []
-            for doc_id, terms in zip(batch["doc_id"].to_pylist(), batch["terms"].to_pylist(), strict=True):
-                if not terms or not model.index.n_blocks:
-                    scores.append(model.without)
-                    evidence.append([])
-                    continue
-                key = tuple(terms)
-                if key not in seen:
-                    if len(seen) >= 20_000:  # what is kept between documents is bounded
-                        seen.clear()
-                    seen[key] = model.index.nearest(np.array(terms), NEAREST + 1)
-                result = model.score(doc_id, *seen[key])
-                scores.append(result[0])
-                evidence.append(result[1])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["doc_id", "held_out", "score", "evidence"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    # the rows are small and the work is not: dealt anew, as their files hold too many each
-    dealt = found.repartition(max(1, ceil(total / SCORED)))
-    return dealt.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, evidence array<long>")
+    voter = Voter(Index([e for e in sampled if len(e.terms)], weight), votes, prior, (for_ + prior) / (for_ + against + 1))
+    bases, place = words_.places()
+
+    def scored(rows: DataFrame, model: Voter, calibrated: bool) -> DataFrame:
+        shared, names = sent(spark, (model, bases, place)), [x for x in rows.columns if x != "text"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            powers, (model, bases, place) = Powers(), received(shared)
+            for batch in batches:
+                ids, found = batch["doc_id"].to_pylist(), []
+                for terms, cut in found_terms(batch["text"], bases, place, powers):
+                    for low, high in zip(cut[:-1], cut[1:], strict=True):
+                        found.append((model.score if calibrated else model.raw)(ids[len(found)], terms[low:high]))
+                scores, evidence = zip(*found, strict=True) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=[*names, "score", "evidence"])
+
+        kinds = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in names)
+        return rows.mapInArrow(run, f"{kinds}, score double, evidence array<long>")
+
+    # each example is scored by the others, and the curve from votes to labels is fitted to that
+    known = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(max(1, ceil(len(sampled) / SCORED)))
+    own = scored(known, voter, False).select("toxic", "score").toArrow()
+    toxic = own["toxic"].to_numpy().astype(float)
+    slope, shift = calibration(own["score"].to_numpy(), toxic, np.where(toxic > 0, votes[1], votes[0]))
+    return scored(docs.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "text"), voter._replace(slope=slope, shift=shift), True)
 
 
 def op4_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
