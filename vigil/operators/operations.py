@@ -20,6 +20,27 @@ def advanced_marks(successes: DataFrame, marks: DataFrame, keys: Sequence[str])
     return joined.select(*keys, "previous_mark", F.greatest("seen", "previous_mark").alias("resulting_mark"), (F.col("previous_mark").isNull() | (F.col("seen") > F.col("previous_mark"))).alias("advanced"))
 
 
+def of_run(rows: DataFrame, run_id: str) -> DataFrame:
+    """H6: what was recorded of one run."""
+    return rows.filter(F.col("run_id") == run_id)
+
+
+def stages(events: DataFrame) -> DataFrame:
+    """Per run and stage the last status, the first and last time, and the number of events."""
+    return events.groupBy("run_id", F.col("source").alias("stage")).agg(
+        F.max_by("status", F.struct("event_time", "event_id")).alias("status"), F.min("event_time").alias("started_at"), F.max("event_time").alias("ended_at"), F.count("*").alias("events"))
+
+
+def latest_snapshot(snapshots: DataFrame) -> DataFrame:
+    """H8: the newest published snapshot; no row if none is."""
+    return snapshots.filter("published").agg(F.max("snapshot_id").alias("snapshot_id")).filter("snapshot_id IS NOT NULL")
+
+
+def replaced(kept: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Kept rows, those with the key of an incoming one replaced by it."""
+    return kept.join(incoming.select(*keys).distinct(), list(keys), "left_anti").unionByName(incoming)
+
+
 def latest_published_run(runs: DataFrame) -> DataFrame:
     """H4: the newest run that is published, with its status."""
     return runs.filter("published AND status IN ('success', 'partial_success')").orderBy(F.desc("run_id")).limit(1)

@@ -99,10 +99,10 @@ def integrity(exposure: DataFrame, queue: DataFrame, alerts: DataFrame, triggers
     ours = ours.groupBy("decision_date", "city_id").agg(F.count("*").alias("n"), F.count_if("e").alias("c"), F.count_if(F.col("s") >= 4).alias("h"))
     pair = workload.join(ours, ["decision_date", "city_id"], "full_outer")
     odd_workload = pair.filter(" OR ".join(f"coalesce({a}, 0) <> coalesce({b}, 0)" for a, b in (("at_risk_members", "n"), ("contactable_members", "c"), ("high_priority_members", "h"))))
-    named = triggers.select("city_id").unionByName(exposure.select("city_id")).unionByName(workload.select("city_id"))
+    named = triggers.select("city_id").unionByName(queue.select("city_id")).unionByName(alerts.select("city_id"))
     counts = [
         count_of(queue.filter("NOT outreach_consent"), "consent_leakage"),
-        count_of(exposure.groupBy(*MEMBER_KEY).count().filter("count > 1"), "duplicate_member_triggers"),
+        count_of(queue.groupBy(*MEMBER_KEY).count().filter("count > 1"), "duplicate_member_triggers"),
         count_of(triggers.filter("observed_persistence_hours < persistence_hours OR window_end < window_start"), "invalid_windows"),
         count_of(queue.join(triggers, ["ruleset_version", "rule_id", "city_id", "window_start"], "left_anti"), "queue_without_trigger"),
         count_of(odd_alerts, "alert_mismatches"),

@@ -47,7 +47,7 @@ def condition_changes(incoming: DataFrame, current: DataFrame) -> DataFrame:
 def next_state(rows: DataFrame, key: str) -> DataFrame:
     """The state after reconciling: what came in is active, what did not is kept, inactive."""
     names = [f.name for f in rows.schema["old"].dataType if f.name != "active"]
-    return rows.select(key, *(F.coalesce(f"new.{c}", f"old.{c}").alias(c) for c in names), F.col("new").isNotNull().alias("active"))
+    return rows.select(key, *(F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in names), F.col("new").isNotNull().alias("active"))
 
 
 def current_conditions(state: DataFrame, links: DataFrame, key: str) -> DataFrame:
@@ -59,7 +59,7 @@ def integrity_violations(members: DataFrame, links: DataFrame) -> DataFrame:
     """C14: (violation, id): repeated or missing ids, links without a member, repeated links."""
     ident = F.col("member_id").cast("string").alias("id")
     repeated = members.groupBy("member_id").count().filter("count > 1").select(F.lit("repeated_id").alias("violation"), ident)
-    empty = members.filter(F.col("member_id").isNull()).select(F.lit("empty_id").alias("violation"), ident)
+    empty = members.filter(F.coalesce(F.trim(F.col("member_id").cast("string")) == "", F.lit(True))).select(F.lit("empty_id").alias("violation"), ident)
     orphan = links.join(members, "member_id", "left_anti").select(F.lit("orphan_link").alias("violation"), ident)
     twice = links.groupBy("member_id", "condition").count().filter("count > 1").select(F.lit("repeated_link").alias("violation"), ident)
     return repeated.unionByName(empty).unionByName(orphan).unionByName(twice)

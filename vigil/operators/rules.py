@@ -123,19 +123,22 @@ def rule_conflicts(rules: DataFrame) -> DataFrame:
 
 
 def change_impact(old: DataFrame, new: DataFrame, members_by_city: DataFrame) -> DataFrame:
-    """One row of counts between two catalogs: rules, scopes and bands added, removed and changed, affected cities and members."""
+    """One row of counts between two catalogs: rules, scopes and bands added, removed and changed; cities of the rules
+    that differ, before or after, and their members."""
     def content(r: DataFrame, name: str) -> DataFrame:
         return r.select("rule_id", F.to_json(F.struct(*(c for c in r.columns if c not in ("ruleset_version", "rule_id")))).alias(name))
 
-    rules = content(old, "o").join(content(new, "n"), "rule_id", "full_outer").agg(
+    both = content(old, "o").join(content(new, "n"), "rule_id", "full_outer")
+    rules = both.agg(
         F.count_if(F.col("o").isNull()).alias("rules_added"), F.count_if(F.col("n").isNull()).alias("rules_removed"), F.count_if(F.col("o") != F.col("n")).alias("rules_changed"))
     scopes = [definitions(r).select("rule_id", "city_id", "month").distinct() for r in (old, new)]
     bands = [severity_bands(r).select("rule_id", "severity", "minimum_persistence_hours", "minimum_threshold_ratio").distinct() for r in (old, new)]
     counted = [rules]
     for name, (o, n) in (("scopes", scopes), ("bands", bands)):
         counted += [n.exceptAll(o).agg(F.count("*").alias(f"{name}_added")), o.exceptAll(n).agg(F.count("*").alias(f"{name}_removed"))]
-    moved = scopes[1].exceptAll(scopes[0]).union(scopes[0].exceptAll(scopes[1])).select("city_id").distinct()
-    counted.append(members_by_city.join(moved, "city_id", "left_semi").agg(F.count("*").alias("affected_cities"), F.coalesce(F.sum("members"), F.lit(0)).alias("estimated_members")))
+    touched = both.filter("NOT (o <=> n)").select("rule_id")
+    cities = old.select("rule_id", "cities").union(new.select("rule_id", "cities")).join(touched, "rule_id", "left_semi").select(F.explode("cities").alias("city_id")).distinct()
+    counted.append(members_by_city.join(cities, "city_id", "left_semi").agg(F.count("*").alias("affected_cities"), F.coalesce(F.sum("members"), F.lit(0)).alias("estimated_members")))
     out = counted[0]
     for one in counted[1:]:  # rows of one
         out = out.crossJoin(one)

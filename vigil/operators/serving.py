@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from vigil.functions.expressions import share
 
-#: Labels of metrics; other metrics are shown by name.
-LABELS = {
-    "apparent_temperature": "Apparent Temperature", "temperature_2m": "Temperature", "daily_max_temperature": "Daily Maximum Temperature",
-    "daily_min_temperature": "Daily Minimum Temperature", "daily_temperature_range": "Daily Temperature Range", "apparent_temperature_uplift": "Apparent Temperature Uplift",
-    "daily_precipitation_sum": "Daily Precipitation", "relative_humidity": "Relative Humidity", "wind_speed": "Wind Speed", "pm2_5": "PM2.5", "pm10": "PM10", "pm2_5_rolling_24h": "PM2.5 Rolling 24h",
+#: Label and unit of metrics; other metrics are shown by name.
+SHOWN = {
+    "apparent_temperature": ("Apparent Temperature", "°C"), "temperature_2m": ("Temperature", "°C"), "daily_max_temperature": ("Daily Maximum Temperature", "°C"),
+    "daily_min_temperature": ("Daily Minimum Temperature", "°C"), "daily_temperature_range": ("Daily Temperature Range", "°C"), "apparent_temperature_uplift": ("Apparent Temperature Uplift", "°C"),
+    "precipitation": ("precipitation", "mm"), "daily_precipitation_sum": ("Daily Precipitation", "mm"), "relative_humidity": ("Relative Humidity", "%"), "wind_speed": ("Wind Speed", "km/h"),
+    "pm2_5": ("PM2.5", "µg/m³"), "pm10": ("PM10", "µg/m³"), "pm2_5_rolling_24h": ("PM2.5 Rolling 24h", "µg/m³"),
 }
 
 
@@ -41,23 +42,18 @@ def ticker(daily: DataFrame, summary: DataFrame, date: str, city: str | None = N
 def executive_kpis(workload: DataFrame, date: str, city: str | None = None) -> DataFrame:
     """Totals of a date."""
     return on_date(workload, date, city).agg(
-        F.sum("total_members").alias("total_members"), F.sum("at_risk_members").alias("at_risk_members"), share(F.sum("at_risk_members"), F.sum("total_members"), 2).alias("at_risk_percentage"),
-        F.sum("contactable_members").alias("contactable_members"), F.sum("high_priority_members").alias("high_priority_members"), F.count_if(F.col("at_risk_members") > 0).alias("affected_cities"))
-
-
-def unit_of(metric: Column) -> Column:
-    return (F.when(metric.like("%temperature%"), "°C").when(metric.like("%precipitation%"), "mm").when(metric == "relative_humidity", "%").when(metric == "wind_speed", "km/h")
-            .when(metric.isin("pm2_5", "pm10", "pm2_5_rolling_24h"), "µg/m³"))
+        F.sum("total_members").alias("population"), F.sum("at_risk_members").alias("exposed"), share(F.sum("at_risk_members"), F.sum("total_members"), 2).alias("exposed_share"),
+        F.sum("contactable_members").alias("reachable"), F.sum("high_priority_members").alias("urgent"), F.count_if(F.col("at_risk_members") > 0).alias("cities_hit"))
 
 
 def relevant_metrics(daily: DataFrame, summary: DataFrame, date: str, city: str | None = None) -> DataFrame:
     """The metrics that the day's conditions use, with label, unit and rounded values."""
     used = on_date(daily, date, city).select("city_id", F.explode("metrics").alias("metric")).distinct()
-    label = F.coalesce(F.create_map(*(F.lit(x) for kv in LABELS.items() for x in kv))[F.col("metric")], F.col("metric"))
-    values = {"minimum_value": "forecast_minimum", "average_value": "forecast_average", "maximum_value": "forecast_maximum"}
-    values |= {c: c for c in ("historical_average", "historical_p10", "historical_p90", "historical_p95", "historical_minimum", "historical_maximum")}
+    shown = F.create_map(*(x for m, (label, unit) in SHOWN.items() for x in (F.lit(m), F.struct(F.lit(label).alias("label"), F.lit(unit).alias("unit")))))[F.col("metric")]
+    values = {"minimum_value": "low", "average_value": "mean", "maximum_value": "high"}
+    values |= {f"historical_{c}": f"usual_{c}" for c in ("average", "p10", "p90", "p95", "minimum", "maximum")}
     rounded = [F.round(a, 1).alias(b) for a, b in values.items()]
-    return on_date(summary, date).join(used, ["city_id", "metric"]).select("city_id", label.alias("metric"), unit_of(F.col("metric")).alias("unit"), *rounded)
+    return on_date(summary, date).join(used, ["city_id", "metric"]).select("city_id", F.coalesce(shown["label"], F.col("metric")).alias("metric"), shown["unit"].alias("unit"), *rounded)
 
 
 def affected_members(exposure: DataFrame, date: str, city: str | None = None, severity: str | None = None, limit: int = 2000) -> DataFrame:
@@ -69,31 +65,30 @@ def affected_members(exposure: DataFrame, date: str, city: str | None = None, se
 
 def outreach_readiness(workload: DataFrame, date: str) -> DataFrame:
     """Cities at risk with the gap between members at risk and those who may be contacted."""
-    rows = on_date(workload, date).filter("at_risk_members > 0")
-    return rows.select("city_id", "at_risk_members", "contactable_members", (F.col("at_risk_members") - F.col("contactable_members")).alias("outreach_gap"), share(F.col("contactable_members"), F.col("at_risk_members"), 1).alias("contactable_percentage"))
+    exposed, reachable = F.col("at_risk_members"), F.col("contactable_members")
+    rows = on_date(workload, date).filter(exposed > 0)
+    return rows.select("city_id", exposed.alias("exposed"), reachable.alias("reachable"), (exposed - reachable).alias("unreachable"), share(reachable, exposed, 1).alias("reachable_share"))
 
 
 def by_group(rows: DataFrame, group: str) -> DataFrame:
-    """Distinct members of a group: at risk, contactable, of high priority; a row per member first."""
-    ours = rows.groupBy(group, "member_id").agg(F.max("outreach_eligible").alias("eligible"), F.max("priority_score").alias("score"))
-    return ours.groupBy(group).agg(F.count("*").alias("at_risk_members"), F.count_if("eligible").alias("contactable_members"), F.count_if(F.col("score") >= 4).alias("high_priority_members"))
+    """Distinct members of a group: exposed, reachable, urgent; a row per member first. Cities and the highest rank go along."""
+    ours = rows.groupBy(group, "city_id", "member_id").agg(F.max("outreach_eligible").alias("e"), F.max("priority_score").alias("s"), F.max("severity_rank").alias("r"))
+    return ours.groupBy(group).agg(F.count("*").alias("exposed"), F.count_if("e").alias("reachable"), F.count_if(F.col("s") >= 4).alias("urgent"), F.size(F.collect_set("city_id")).alias("cities"), F.max("r").alias("worst_rank"))
 
 
 def risk_driver_impact(exposure: DataFrame, date: str) -> DataFrame:
     """Members and cities per signal."""
-    rows = on_date(exposure, date)
-    cities = rows.groupBy("signal_name").agg(F.count_distinct("city_id").alias("affected_cities"), F.max("severity_rank").alias("maximum_severity_rank"))
-    return by_group(rows, "signal_name").drop("high_priority_members").join(cities, "signal_name").withColumnRenamed("signal_name", "environmental_condition")
+    return by_group(on_date(exposure, date), "signal_name").withColumnRenamed("signal_name", "driver").drop("urgent")
 
 
 def condition_workload(exposure: DataFrame, date: str) -> DataFrame:
     """Members per matched condition."""
-    return by_group(on_date(exposure, date).withColumn("member_condition", F.explode("matched_conditions")), "member_condition")
+    return by_group(on_date(exposure, date).withColumn("condition", F.explode("matched_conditions")), "condition").select("condition", "exposed", "reachable", "urgent")
 
 
 def channel_workload(exposure: DataFrame, date: str) -> DataFrame:
     """Members to contact per channel."""
-    return by_group(on_date(exposure, date).filter("outreach_eligible"), "preferred_channel").drop("at_risk_members").withColumnRenamed("preferred_channel", "contact_channel")
+    return by_group(on_date(exposure, date).filter("outreach_eligible"), "preferred_channel").select(F.col("preferred_channel").alias("channel"), "reachable", "urgent")
 
 
 def newest_runs(history: DataFrame) -> DataFrame:
@@ -102,22 +97,27 @@ def newest_runs(history: DataFrame) -> DataFrame:
 
 
 def risk_lifecycle(history: DataFrame, date: str) -> DataFrame:
-    """Members by what their risk did since the date before: new, escalated, continuing or resolved."""
-    rows = newest_runs(history).filter(F.col("decision_date") <= F.lit(date).cast("date"))
-    last = rows.filter(F.col("decision_date") < F.lit(date).cast("date")).agg(F.max("decision_date").alias("decision_date"))
-    key = ["member_id", "city_id", "rule_id"]
-    now = on_date(rows, date).select(*key, "severity_rank")
-    before = rows.join(last, "decision_date", "left_semi").select(*key, F.col("severity_rank").alias("rank_before"))
-    status = F.when(F.col("rank_before").isNull(), "new").when(F.col("severity_rank") > F.col("rank_before"), "escalated").otherwise("continuing")
-    current = now.join(before, key, "left").select(status.alias("lifecycle_status"), "member_id")
-    resolved = before.join(now, key, "left_anti").select(F.lit("resolved").alias("lifecycle_status"), "member_id")
-    return current.unionByName(resolved).distinct().groupBy("lifecycle_status").agg(F.count("*").alias("members"))
+    """Members by what their risk did since the date before: new, escalated, continuing or resolved.
+
+    One aggregation gives the least and highest rank of a member's rule on either date. A member counts once for each
+    thing that any of its windows did, beside any of the same rule's on the date before.
+    """
+    day = F.lit(date).cast("date")
+    rows = newest_runs(history.filter(F.col("decision_date") <= day))
+    last = rows.filter(F.col("decision_date") < day).agg(F.max("decision_date").alias("last"))
+    now, rank = F.col("decision_date") == day, F.col("severity_rank")
+    near = rows.join(F.broadcast(last), now | (F.col("decision_date") == F.col("last")))  # one row
+    ends = {n: f(F.when(now if n[0] == "a" else ~now, rank)) for n, f in (("a_low", F.min), ("a_high", F.max), ("b_low", F.min), ("b_high", F.max))}
+    key = near.groupBy("member_id", "city_id", "rule_id").agg(*(c.alias(n) for n, c in ends.items()))
+    did = {"new": "b_low IS NULL", "resolved": "a_low IS NULL", "escalated": "a_high > b_low", "continuing": "a_low <= b_high"}
+    changes = F.array_compact(F.array(*(F.when(F.expr(test), F.lit(name)) for name, test in did.items())))
+    return key.select("member_id", F.explode(changes).alias("change")).distinct().groupBy("change").agg(F.count("*").alias("members"))
 
 
 def risk_trend(history: DataFrame, city: str | None = None) -> DataFrame:
     """Totals per date over the newest runs."""
     rows = newest_runs(history) if city is None else newest_runs(history).filter(F.col("city_id") == city)
-    return rows.groupBy("decision_date").agg(F.sum("at_risk_members").alias("at_risk_members"), share(F.sum("at_risk_members"), F.sum("total_members"), 2).alias("at_risk_percentage"), F.sum("contactable_members").alias("contactable_members"))
+    return rows.groupBy("decision_date").agg(F.sum("at_risk_members").alias("exposed"), share(F.sum("at_risk_members"), F.sum("total_members"), 2).alias("exposed_share"), F.sum("contactable_members").alias("reachable"))
 
 
 def highlights(readiness: DataFrame, drivers: DataFrame) -> DataFrame:
@@ -129,13 +129,15 @@ def highlights(readiness: DataFrame, drivers: DataFrame) -> DataFrame:
     def tied(df: DataFrame, name: str) -> DataFrame:
         return df.withColumn("tie", -F.row_number().over(Window.orderBy(name)))
 
-    left = tied(readiness, "city_id").agg(top("city_id", "at_risk_members", "tie").alias("highest_burden_city"), top("city_id", "outreach_gap", "tie").alias("largest_gap_city"))
-    return left.crossJoin(tied(drivers, "environmental_condition").agg(top("environmental_condition", "at_risk_members", "tie").alias("dominant_driver")))
+    left = tied(readiness, "city_id").agg(top("city_id", "exposed", "tie").alias("busiest_city"), top("city_id", "unreachable", "tie").alias("widest_gap_city"))
+    return left.crossJoin(tied(drivers, "driver").agg(top("driver", "exposed", "tie").alias("main_driver")))
 
 
 def replicated_exposure(exposure: DataFrame, date: str, factor: int) -> DataFrame:
-    """The date's exposure replicated factor times; each replica has members of its own."""
-    copies = exposure.sparkSession.range(factor).withColumnRenamed("id", "scale")
-    rows = on_date(exposure, date).select("city_id", "severity", "member_id", "outreach_eligible").crossJoin(F.broadcast(copies))
-    ours = rows.groupBy("city_id", "severity", "member_id", "scale").agg(F.count("*").alias("n"), F.count_if("outreach_eligible").alias("e"))
-    return ours.groupBy("city_id", "severity").agg(F.sum("n").alias("exposure_rows"), F.count("*").alias("members"), F.sum("e").alias("contactable_rows"))
+    """The date's exposure replicated factor times; each replica has members of its own.
+
+    Rows are counted per member before they are replicated, so that distinct members of replicas need no shuffle of them.
+    """
+    copies = exposure.sparkSession.range(factor).select("id")
+    ours = on_date(exposure, date).groupBy("city_id", "severity", "member_id").agg(F.count("*").alias("n"), F.count_if("outreach_eligible").alias("e"))
+    return ours.crossJoin(F.broadcast(copies)).groupBy("city_id", "severity").agg(F.sum("n").alias("rows"), F.count("*").alias("people"), F.sum("e").alias("reachable_rows"))

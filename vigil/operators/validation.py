@@ -40,7 +40,8 @@ def sentinel_issue(fields: Sequence[str], sentinel: float) -> Column:
 
 def text_time(text: Column) -> Column:
     """B2: ISO text with Z, an offset, or none (UTC) as UTC time; null if it is no time."""
-    return F.try_to_timestamp(text)
+    zoneless = text.rlike(r":[0-9]{2}(\.[0-9]+)?$") & ~text.rlike(r"[+-][0-9]{2}:[0-9]{2}$")
+    return F.try_to_timestamp(F.when(zoneless, F.concat(text, F.lit("Z"))).when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.concat(text, F.lit("T00:00:00Z"))).otherwise(text))
 
 
 def date_key(text: Column) -> Column:

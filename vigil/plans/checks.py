@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.expressions import clock
-from vigil.operators import quality, rules, validation
+from vigil.operators import marts, quality, rules, validation
 from vigil.operators.validation import Range
 from vigil.plans import catalog, risk
 from vigil.plans.sql import sql
@@ -48,7 +48,7 @@ def b2(s: SparkSession, d: str) -> DataFrame:
     text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     k = F.col("o_orderkey") % 4
     shown = F.when(k == 0, F.concat(text, F.lit("Z"))).when(k == 1, F.concat(text, F.lit("+05:30"))).when(k == 2, text).otherwise(F.concat(F.lit("x"), text))
-    utc = validation.text_time(F.when(k == 2, F.concat(shown, F.lit("Z"))).otherwise(shown))
+    utc = validation.text_time(shown)
     micros = F.unix_micros(utc)
     return table(s, d, "orders").select("o_orderkey", F.coalesce(F.floor(micros / 1_000_000), F.lit(-1)).alias("seconds"), utc.isNotNull().alias("accepted"))
 
@@ -112,9 +112,31 @@ def anomalies(s: SparkSession, d: str) -> DataFrame:
     return quality.row_anomalies(current, quality.profile_history(profiles(s, d), runs(s, d), "200003"), 3, 0.05, 0.15)
 
 
-def integrity(s: SparkSession, d: str) -> DataFrame:
-    focus = risk.triggers(s, d)
-    return quality.integrity(risk.exposure(s, d), risk.queue(s, d), risk.alerts(s, d), focus, risk.workload(s, d), risk.cities(s, d))
+def sound(s: SparkSession, d: str) -> DataFrame:
+    """The integrity of the marts as they are."""
+    return quality.integrity(risk.exposed(s, d), risk.queue(s, d), risk.alerts(s, d), risk.triggered(s, d), risk.worked(s, d), risk.cities(s, d))
+
+
+def breached(s: SparkSession, d: str) -> DataFrame:
+    """The integrity of marts with a breach of each kind planted in them."""
+    exposure, queue, day = risk.exposed(s, d), risk.queue(s, d), F.expr("INTERVAL 1 DAY")
+    unasked = exposure.filter("NOT outreach_consent AND member_id % 17 = 1").select(*queue.columns)
+    moved = queue.filter("member_id % 83 = 3").withColumn("window_start", F.col("window_start") + day)
+    queued = queue.unionByName(unasked).unionByName(queue.filter("member_id % 89 = 2")).unionByName(moved)
+    alerts = marts.stakeholder_alerts(queue).filter("NOT (city_id = 'MIDDLE EAST' AND rule_id = 'R1')")
+    alerts = alerts.withColumn("eligible_members", F.col("eligible_members") + F.when(F.col("decision_date") == F.lit("2024-01-09").cast("date"), 1).otherwise(0))
+    triggers = risk.triggered(s, d).filter("NOT (city_id = 'AMERICA' AND rule_id = 'R4')")
+    triggers = triggers.withColumn("window_end", F.when((F.col("city_id") == "ASIA") & (F.col("rule_id") == "R2"), F.col("window_start") - day).otherwise(F.col("window_end")))
+    triggers = triggers.withColumn("persistence_hours", F.col("persistence_hours") + F.when(F.col("rule_id") == "R3", 100).otherwise(0))
+    at_risk = F.col("at_risk_members")
+    workload = risk.worked(s, d).withColumn("at_risk_members", F.when(F.col("decision_date") == F.lit("2024-01-11").cast("date"), F.col("total_members") + 5).when(F.col("decision_date") == F.lit("2024-01-10").cast("date"), at_risk + 1).otherwise(at_risk))
+    return quality.integrity(exposure, queued, alerts, triggers, workload, risk.cities(s, d).filter("city_id <> 'AFRICA'"))
+
+
+def gates(s: SparkSession, d: str) -> DataFrame:
+    """Whether the sound and the breached marts may be published."""
+    rows = [quality.integrity_results(df, {}).agg((~F.bool_or(F.col("status") == "fail")).alias("may_publish")).withColumn("marts", F.lit(n)) for n, df in (("sound", sound(s, d)), ("breached", breached(s, d)))]
+    return rows[0].unionByName(rows[1])
 
 
 def readiness(s: SparkSession, d: str) -> DataFrame:
@@ -148,17 +170,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f6_join_loss": lambda s, d: quality.join_loss(reconciled(s, d), 0.05, 0.2),
     "f8_row_anomalies": anomalies,
     "f9_profile_history": lambda s, d: quality.profile_history(profiles(s, d), runs(s, d), "200003").withColumn("average_value", F.round("average_value", 6)),
-    "f10_integrity": integrity,
-    "f11_integrity_results": lambda s, d: quality.integrity_results(integrity(s, d), {"unapproved_city_rows": 5}),
+    "f10_integrity": lambda s, d: sound(s, d).withColumn("marts", F.lit("sound")).unionByName(breached(s, d).withColumn("marts", F.lit("breached"))),
+    "f11_integrity_results": lambda s, d: quality.integrity_results(breached(s, d), {"invalid_windows": 1_000_000}),
     "f12_city_readiness": readiness,
     "f12_run_readiness": lambda s, d: quality.run_readiness(readiness(s, d), 2, 0.6, ["AFRICA"]),
     "f13_publication_cities": lambda s, d: quality.publication_cities(readiness(s, d)),
-    "f14_gate": lambda s, d: quality.integrity_results(integrity(s, d), {}).agg((~F.bool_or(F.col("status") == "fail")).alias("may_publish")),
+    "f14_gate": gates,
     "d1_definitions": lambda s, d: rules.definitions(catalog.part_rules(s, d)),
     "d2_predicates": lambda s, d: rules.predicates(catalog.part_rules(s, d)),
     "d3_condition_relevance": lambda s, d: rules.condition_relevance(catalog.part_rules(s, d), catalog.part_profiles(s, d)),
     "d4_severity_bands": lambda s, d: rules.severity_bands(catalog.part_rules(s, d)),
     "d5_catalog_mismatches": lambda s, d: rules.catalog_mismatches(catalog.part_rules(s, d), catalog.part_rules(s, d, 2)),
+    "d5_merged_catalog": lambda s, d: rules.merged_catalog(catalog.part_rules(s, d).select("rule_id", "severity"), catalog.part_rules(s, d, 2).select("rule_id", F.when(F.col("persistence_hours") == 3, "retired").otherwise("approved").alias("status"))),
     "d6_semantic_violations": lambda s, d: rules.semantic_violations(catalog.part_rules(s, d)),
     "d7_reference_violations": lambda s, d: rules.reference_violations(catalog.part_rules(s, d), catalog.part_cities(s, d), catalog.part_profiles(s, d)),
     "d8_impossible_ranges": lambda s, d: rules.impossible_ranges(catalog.part_rules(s, d)),
@@ -196,19 +219,43 @@ READY = """, state AS (SELECT city_id, 'weather' AS source, max(observed_at) AS
   ready AS (SELECT r_name AS city_id, bool_and(coalesce(latest >= TIMESTAMP '2024-01-20 00:00:00', false)) AS complete FROM (SELECT r_name, unnest(['weather', 'air']) AS source FROM region) LEFT JOIN state ON city_id = r_name AND state.source = "unnest"."source" GROUP BY r_name)
 """.replace('(SELECT r_name, unnest([\'weather\', \'air\']) AS source FROM region) LEFT JOIN state ON city_id = r_name AND state.source = "unnest"."source"', "(SELECT r_name, unnest(['weather', 'air']) AS source FROM region) e LEFT JOIN state s ON s.city_id = r_name AND s.source = e.source")
 NINE = ("consent_leakage", "duplicate_member_triggers", "invalid_windows", "queue_without_trigger", "alert_mismatches", "unapproved_city_rows", "queue_without_exposure", "workload_mismatches", "at_risk_above_total")
-#: The marts are made to agree; the SQL counts what they could differ in, from its own marts.
-INTEGRITY = """, n AS (SELECT (SELECT count(*) FROM queue WHERE NOT outreach_consent) AS consent_leakage,
-  (SELECT count(*) FROM (SELECT 1 FROM exposure GROUP BY decision_date, member_id, rule_id, city_id, window_start HAVING count(*) > 1)) AS duplicate_member_triggers,
-  (SELECT count(*) FROM triggers WHERE hours < persistence_hours OR window_end < window_start) AS invalid_windows,
-  (SELECT count(*) FROM queue ANTI JOIN triggers USING (rule_id, city_id, window_start)) AS queue_without_trigger,
-  (SELECT count(*) FROM alerts FULL JOIN (SELECT decision_date, rule_id, city_id, window_start, count(DISTINCT member_id) AS k FROM queue GROUP BY ALL) USING (decision_date, rule_id, city_id, window_start) WHERE eligible_members IS DISTINCT FROM k) AS alert_mismatches,
-  (SELECT count(*) FROM (SELECT city_id FROM triggers UNION ALL SELECT city_id FROM exposure UNION ALL SELECT city_id FROM workload) ANTI JOIN cities USING (city_id)) AS unapproved_city_rows,
-  (SELECT count(*) FROM queue ANTI JOIN exposure USING (decision_date, rule_id, city_id, window_start, member_id)) AS queue_without_exposure,
-  (SELECT count(*) FROM workload FULL JOIN (SELECT decision_date, city_id, count(DISTINCT member_id) AS k FROM exposure GROUP BY ALL) USING (decision_date, city_id) WHERE coalesce(at_risk_members, 0) <> coalesce(k, 0)) AS workload_mismatches,
-  (SELECT count(*) FROM workload WHERE at_risk_members > total_members) AS at_risk_above_total)
+#: What each check counts, over queue q, alerts a, triggers t, workload w and cities c.
+COUNTS = """(SELECT count(*) FROM q WHERE NOT outreach_consent) AS consent_leakage,
+  (SELECT count(*) FROM (SELECT 1 FROM q GROUP BY decision_date, member_id, rule_id, city_id, window_start HAVING count(*) > 1)) AS duplicate_member_triggers,
+  (SELECT count(*) FROM t WHERE hours < persistence_hours OR window_end < window_start) AS invalid_windows,
+  (SELECT count(*) FROM q WHERE (rule_id, city_id, window_start) NOT IN (SELECT (rule_id, city_id, window_start) FROM t)) AS queue_without_trigger,
+  (SELECT count(*) FROM (SELECT sum(n) AS n, sum(h) AS h, count(*) AS k FROM (SELECT decision_date, rule_id, city_id, window_start, eligible_members AS n, high_priority_members AS h FROM a
+     UNION ALL SELECT decision_date, rule_id, city_id, window_start, -count(DISTINCT member_id), -count(DISTINCT member_id) FILTER (WHERE priority_score >= 4) FROM q GROUP BY ALL) GROUP BY decision_date, rule_id, city_id, window_start) WHERE k < 2 OR n <> 0 OR h <> 0) AS alert_mismatches,
+  (SELECT count(*) FILTER (WHERE city_id NOT IN (SELECT city_id FROM c)) FROM (SELECT city_id FROM t UNION ALL SELECT city_id FROM q UNION ALL SELECT city_id FROM a)) AS unapproved_city_rows,
+  (SELECT count(*) FROM q WHERE (decision_date, rule_id, city_id, window_start, member_id) NOT IN (SELECT (decision_date, rule_id, city_id, window_start, member_id) FROM exposure)) AS queue_without_exposure,
+  (SELECT count(*) FROM (SELECT sum(x) AS x, sum(y) AS y, sum(z) AS z FROM (SELECT decision_date, city_id, at_risk_members AS x, contactable_members AS y, high_priority_members AS z FROM w
+     UNION ALL SELECT decision_date, city_id, -count(DISTINCT member_id), -count(DISTINCT member_id) FILTER (WHERE outreach_eligible), -count(DISTINCT member_id) FILTER (WHERE priority_score >= 4) FROM exposure GROUP BY ALL) GROUP BY decision_date, city_id) WHERE x <> 0 OR y <> 0 OR z <> 0) AS workload_mismatches,
+  (SELECT count(*) FROM w WHERE at_risk_members > total_members) AS at_risk_above_total"""
+INTEGRITY = f""", sound AS (WITH q AS (FROM queue), a AS (FROM alerts), t AS (FROM triggers), w AS (FROM workload), c AS (FROM cities) SELECT {COUNTS}),
+  breached AS (WITH q AS (FROM queue UNION ALL FROM exposure WHERE NOT outreach_consent AND member_id % 17 = 1 UNION ALL FROM queue WHERE member_id % 89 = 2
+      UNION ALL SELECT * REPLACE (window_start + INTERVAL 1 DAY AS window_start) FROM queue WHERE member_id % 83 = 3),
+    a AS (SELECT * REPLACE (CASE decision_date WHEN DATE '2024-01-09' THEN eligible_members + 1 ELSE eligible_members END AS eligible_members) FROM alerts WHERE NOT (city_id = 'MIDDLE EAST' AND rule_id = 'R1')),
+    t AS (SELECT * REPLACE (CASE WHEN city_id = 'ASIA' AND rule_id = 'R2' THEN window_start - INTERVAL 1 DAY ELSE window_end END AS window_end, CASE rule_id WHEN 'R3' THEN persistence_hours + 100 ELSE persistence_hours END AS persistence_hours)
+      FROM triggers WHERE NOT (city_id = 'AMERICA' AND rule_id = 'R4')),
+    w AS (SELECT * REPLACE (CASE decision_date WHEN DATE '2024-01-11' THEN total_members + 5 WHEN DATE '2024-01-10' THEN at_risk_members + 1 ELSE at_risk_members END AS at_risk_members) FROM workload),
+    c AS (FROM cities WHERE city_id <> 'AFRICA') SELECT {COUNTS})
 """
 MARTS = ("queue", "triggers", "alerts", "workload", "cities")
-LONG = " UNION ALL ".join(f"SELECT '{c}' AS \"check\", {c} AS actual, {5 if c == 'unapproved_city_rows' else 0} AS maximum, {PASS.format(f'{c} <= {5 if c == "unapproved_city_rows" else 0}')} AS status FROM n" for c in NINE)
+LIMITS = {c: 1_000_000 if c == "invalid_windows" else 0 for c in NINE}
+LONG = " UNION ALL ".join(f"SELECT '{c}' AS \"check\", {c} AS actual, {m} AS maximum, {PASS.format(f'{c} <= {m}')} AS status FROM breached" for c, m in LIMITS.items())
+#: Scopes and bands of both versions of the parts' catalog.
+D12_SQL = f"""WITH p AS (SELECT *, p_partkey % 50 <> 1 AS old, p_partkey % 50 <> 2 AS new, p_partkey % 10 = 0 AS changed FROM part),
+  v AS (SELECT p.*, version, old AND new AND changed OR old <> new AS touched FROM p, (VALUES (1), (2)) t(version) WHERE CASE version WHEN 1 THEN old ELSE new END),
+  c AS (SELECT p_partkey, version, touched, unnest(list_transform(range(1, 2 + p_partkey % 3), lambda i: (p_partkey * i) % 7) || CASE WHEN version = 2 AND changed THEN [6] ELSE [] END) AS city FROM v),
+  s AS (SELECT DISTINCT p_partkey, version, city, month FROM c JOIN (SELECT p_partkey, unnest(list_transform(range(1, 3 + p_partkey % 3), lambda i: (p_partkey + i * 4) % 13)) AS month FROM part) USING (p_partkey)),
+  b AS (SELECT p_partkey, version, (['low', 'medium', 'high', 'critical'])[p_partkey % 4 + 1] AS severity, 1 + p_size % 6 AS hours FROM v WHERE p_partkey % 3 = 0
+    UNION SELECT p_partkey, version, CASE WHEN p_partkey % 5 = 0 THEN 'high' ELSE 'low' END, 2 FROM v WHERE p_partkey % 3 <> 0
+    UNION SELECT p_partkey, version, 'medium', CASE WHEN version = 2 AND changed THEN 6 ELSE 4 END FROM v WHERE p_partkey % 3 <> 0),
+  sn AS (SELECT min(version) AS v FROM s GROUP BY p_partkey, city, month HAVING count(*) = 1), bn AS (SELECT min(version) AS v FROM b GROUP BY p_partkey, severity, hours HAVING count(*) = 1),
+  m AS (SELECT c_nationkey % 7 AS city, count(*) AS n FROM customer GROUP BY 1)
+  SELECT (SELECT count(*) FROM p WHERE NOT old) AS rules_added, (SELECT count(*) FROM p WHERE NOT new) AS rules_removed, (SELECT count(*) FROM p WHERE old AND new AND changed) AS rules_changed,
+    (SELECT count(*) FILTER (WHERE v = 2) FROM sn) AS scopes_added, (SELECT count(*) FILTER (WHERE v = 1) FROM sn) AS scopes_removed, (SELECT count(*) FILTER (WHERE v = 2) FROM bn) AS bands_added, (SELECT count(*) FILTER (WHERE v = 1) FROM bn) AS bands_removed,
+    count(*) AS affected_cities, coalesce(sum(n), 0)::BIGINT AS estimated_members FROM m WHERE city IN (SELECT city FROM c WHERE touched)"""
 
 SQL: dict[str, str] = {
     "b1_range_issues": ISSUE_SQL + "SELECT l_orderkey, l_linenumber, field_name, error_type, severity FROM issues",
@@ -233,17 +280,18 @@ SQL: dict[str, str] = {
     "f6_join_loss": sql(f"SELECT 'join' AS dataset, \"check\", {LEVEL.format('v', '0.05', '0.2')} AS status, v::VARCHAR AS details FROM (SELECT 'weather_join_loss' AS \"check\", round(weather_only / weather_rows, 4) AS v FROM {RECON} UNION ALL SELECT 'air_join_loss', round(air_only / air_rows, 4) FROM {RECON})", "weather", "air", "cities"),
     "f8_row_anomalies": sql(RUNS + f"SELECT dataset, metric, round(abs(value - average_value) / average_value, 4) AS ratio, {LEVEL.format('round(abs(value - average_value) / average_value, 4)', '0.05', '0.15')} AS status, 'history' AS baseline FROM p JOIN h USING (dataset, metric) WHERE run_id = '200003'", "customers"),
     "f9_profile_history": sql(RUNS + "SELECT dataset, metric, round(average_value, 6) AS average_value, samples FROM h", "customers"),
-    "f10_integrity": sql(INTEGRITY + "SELECT * FROM n", *MARTS),
+    "f10_integrity": sql(INTEGRITY + "SELECT *, 'sound' AS marts FROM sound UNION ALL SELECT *, 'breached' FROM breached", *MARTS),
     "f11_integrity_results": sql(INTEGRITY + LONG, *MARTS),
     "f12_city_readiness": sql(READY + "SELECT * FROM ready", "weather", "air"),
     "f12_run_readiness": sql(READY + "SELECT count(*) AS cities, count(*) FILTER (WHERE complete) AS complete_cities, CASE WHEN bool_and(complete) THEN 'success' WHEN count(*) FILTER (WHERE complete) >= greatest(2, ceil(count(*) * 0.6)) AND bool_or(complete AND city_id = 'AFRICA') THEN 'partial_success' ELSE 'failed' END AS status FROM ready", "weather", "air"),
     "f13_publication_cities": sql(READY + "SELECT city_id FROM ready WHERE complete", "weather", "air"),
-    "f14_gate": sql(INTEGRITY + "SELECT " + " AND ".join(f"{c} = 0" for c in NINE) + " AS may_publish FROM n", *MARTS),
+    "f14_gate": sql(INTEGRITY + " UNION ALL ".join(f"SELECT {' + '.join(NINE)} = 0 AS may_publish, '{n}' AS marts FROM {n}" for n in ("sound", "breached")), *MARTS),
     "d1_definitions": PARTS_SQL + "SELECT ruleset_version, rule_id, unnest(cities) AS city_id, month, len(predicates)::INT AS predicate_count, persistence_hours, severity, signal_name, signal_category FROM (SELECT *, unnest(months) AS month FROM rules)",
     "d2_predicates": PARTS_SQL + "SELECT ruleset_version, rule_id, p.i::INT AS predicate_index, p.metric, p.operator, p.comparison, p.threshold, p.baseline_percentile FROM (SELECT ruleset_version, rule_id, unnest(predicates) AS p FROM rules)",
     "d3_condition_relevance": PARTS_SQL + ", f AS (SELECT 'f' || s_suppkey % 8 AS condition_profile, count(*) AS n FROM supplier GROUP BY 1) SELECT ruleset_version, rule_id, 'c1' AS condition, 'high' AS relevance FROM rules JOIN f USING (condition_profile) UNION ALL SELECT ruleset_version, rule_id, 'c' || n || 'x', 'low' FROM rules JOIN f USING (condition_profile)",
     "d4_severity_bands": PARTS_SQL + f"SELECT 'v1' AS ruleset_version, rule_id, s AS severity, h::INT AS minimum_persistence_hours, r AS minimum_threshold_ratio, {RANKED.format('s')} AS severity_rank FROM {BANDS_SQL}",
     "d5_catalog_mismatches": "SELECT 'P' || p_partkey AS rule_id, CASE p_partkey % 50 WHEN 1 THEN 'detection' ELSE 'governance' END AS missing_in FROM part WHERE p_partkey % 50 IN (1, 2)",
+    "d5_merged_catalog": "SELECT 'P' || p_partkey AS rule_id, (['low', 'medium', 'high', 'critical'])[p_partkey % 4 + 1] AS severity, 'approved' AS status FROM part WHERE p_partkey % 50 NOT IN (1, 2) AND p_size % 6 <> 2",
     "d6_semantic_violations": PARTS_SQL + """SELECT rule_id, violation FROM (
       SELECT rule_id, 'repeated_cities' AS violation FROM rules WHERE len(list_distinct(cities)) < len(cities) UNION ALL SELECT rule_id, 'repeated_months' FROM rules WHERE len(list_distinct(months)) < len(months)
       UNION ALL SELECT rule_id, 'months_out_of_range' FROM rules WHERE len(list_filter(months, lambda m: m < 1 OR m > 12)) > 0
@@ -258,4 +306,5 @@ SQL: dict[str, str] = {
       pairs AS (SELECT a.rule_id AS first_rule, b.rule_id AS second_rule, CASE WHEN NOT (list_has_any(a.c, b.c) AND list_has_any(a.m, b.m)) THEN NULL WHEN a.t = b.t THEN 'duplicate_scope' WHEN list_has_all(a.t, b.t) OR list_has_all(b.t, a.t) THEN 'nested'
         WHEN a.c = b.c AND a.m = b.m AND a.s = b.s THEN 'threshold_overlap' END AS conflict FROM d a JOIN d b ON a.f = b.f AND a.rule_id < b.rule_id)
       SELECT * FROM pairs WHERE conflict IS NOT NULL""",
+    "d12_change_impact": D12_SQL,
 }

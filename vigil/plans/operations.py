@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import operations, reference, snapshots
+from vigil.operators import operations, quality, reference, snapshots
 from vigil.plans.sql import sql
-from vigil.sources import adapters, payloads
+from vigil.sources import adapters, payloads, storage
 from vigil.sources.adapters import table
 
 KEY = ["run_id", "source", "city_id"]
-NOW = "2001-07-15 00:00:00"
+NOW, RUN = "2001-07-15 00:00:00", "199905"
 
 
 def state_events(s: SparkSession, d: str) -> DataFrame:
@@ -101,6 +101,65 @@ def dates(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in names})
 
 
+def results(s: SparkSession, d: str) -> DataFrame:
+    """Per run, dataset (region) and check whether the state of its sources passes."""
+    counts = state(s, d).groupBy("run_id", F.col("city_id").alias("dataset")).agg(F.count("*").alias("rows"), F.count_if(F.col("status") == "failed").alias("failed"), F.sum("rejected").alias("rejected"))
+    tests = {"all_sources": (F.col("rows") >= 5, F.col("rows")), "no_failure": (F.col("failed") == 0, F.col("failed")), "few_rejected": (F.col("rejected") <= 5, F.col("rejected"))}
+    return counts.select("run_id", F.explode(F.array(*(F.struct("dataset", F.lit(n).alias("check"), quality.status(ok).alias("status"), v.cast("string").alias("details")) for n, (ok, v) in tests.items()))).alias("r")).select("run_id", "r.*")
+
+
+def replaced_state(s: SparkSession, d: str) -> DataFrame:
+    """The state of two thirds of the events, replaced where the other third has the key, too."""
+    parts = [operations.latest_rows(state_events(s, d).filter(f"event_id % 3 {test}"), KEY, ("event_time", "event_id")) for test in ("<> 0", "= 0")]
+    return operations.replaced(*parts, KEY)
+
+
+def lines(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+
+
+def partitioned_files(s: SparkSession, d: str) -> DataFrame:
+    """Lines written in folders of their flags, and a folder of one flag and all folders read again."""
+    path, ours = storage.fresh_folder(s, "lines"), lines(s, d)
+    storage.write(ours, path, ("l_returnflag",), refuse_empty=True)
+    whole = storage.read(s, path, ours.schema).select(*ours.columns)
+    one = storage.read(s, f"{path}/l_returnflag=R").withColumn("l_returnflag", F.lit("only R"))
+    return whole.unionByName(one.select(*ours.columns))
+
+
+def published_runs(s: SparkSession, d: str) -> DataFrame:
+    """Two runs, one of them tried twice, and one that failed, of which nothing is seen."""
+    root, rows = storage.fresh_folder(s, "published"), lines(s, d).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    for run_id, status in (("r1", "success"), ("r2", "partial_success"), ("r2", "partial_success"), ("r3", "failed")):
+        storage.publish({"counts": rows.withColumn("n", F.col("n") + int(run_id[1]))}, root, run_id, status)
+    return storage.published(s, root, "counts")
+
+
+def daily_facts(s: SparkSession, d: str) -> DataFrame:
+    """A10: the facts of two runs, one after the other, as one history."""
+    root, days = storage.fresh_folder(s, "history"), table(s, d, "orders").groupBy(F.to_date("o_orderdate").cast("string").alias("day")).agg(F.count("*").alias("n"))
+    for run_id, test in (("r1", "n % 2 = 0"), ("r2", "n % 3 = 0")):
+        storage.append_history({"facts": days.filter(test)}, root, run_id)
+    return storage.read(s, f"{root}/facts", "day string, n long, run_id string")
+
+
+def compacted_files(s: SparkSession, d: str) -> DataFrame:
+    """Lines in many files, and in few that hold neighbouring keys."""
+    path, ours = storage.fresh_folder(s, "many"), lines(s, d)
+    storage.write(ours.repartition(16), path)
+    storage.compact(s, path, f"{path}-few", ("l_orderkey", "l_linenumber"), 1_000_000)
+    return storage.read(s, f"{path}-few", ours.schema)
+
+
+def rewritten_partitions(s: SparkSession, d: str) -> DataFrame:
+    """Customers in folders of their regions; those of the changed region, where all moved on, are written anew."""
+    path, ours = storage.fresh_folder(s, "regions"), adapters.members(s, d).select("member_id", "age_band", "city_id")
+    storage.write(ours, path, ("city_id",))
+    moved = ours.withColumn("age_band", F.lit("moved"))
+    storage.rewrite_changed(moved, ours.filter("city_id = 'ASIA'").select("city_id"), path, "city_id")
+    return storage.read(s, path, ours.schema).select(*ours.columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_hourly_payload": hourly_payload,
     "a8_daily_payload": daily_payload,
@@ -127,7 +186,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "h9_latest_manifests": lambda s, d: dates(operations.latest_rows(state_events(s, d), ("source", "city_id"), ("event_time", "event_id")).select("source", "city_id", "run_id", "event_time"), "event_time"),
     "h10_upstream_artifacts": lambda s, d: operations.upstream(edges(s, d)),
     "h11_run_totals": lambda s, d: operations.run_totals(state(s, d)),
-    "h12_stage_metrics": lambda s, d: state_events(s, d).groupBy("run_id", "source").agg(F.count("*").alias("events"), F.datediff(F.max("event_time"), F.min("event_time")).alias("days")),
+    "h6_run_readiness": lambda s, d: dates(operations.of_run(state(s, d), RUN).select("source", "city_id", "status", "extracted", "inserted", "rejected", "event_time"), "event_time"),
+    "h6_run_results": lambda s, d: operations.of_run(results(s, d), RUN).drop("run_id"),
+    "h6_run_stages": lambda s, d: dates(operations.of_run(operations.stages(state_events(s, d)), RUN).drop("run_id"), "started_at", "ended_at"),
+    "h8_latest_member_snapshot": lambda s, d: operations.latest_snapshot(snapshot_runs(s, d)),
+    "h12_stage_metrics": lambda s, d: operations.stages(state_events(s, d)).select("run_id", "stage", "status", "events", F.datediff("ended_at", "started_at").alias("days")),
+    "h14_replaced_state": lambda s, d: replaced_state(s, d).select(*KEY, "event_id", "status", "extracted"),
+    "a1_partitioned_files": partitioned_files,
+    "a9_published_runs": published_runs,
+    "a10_daily_history": daily_facts,
+    "a11_compacted_files": compacted_files,
+    "a16_rewritten_partitions": rewritten_partitions,
     "h13_latest_times": lambda s, d: state_events(s, d).groupBy("source", "city_id").agg(F.max("event_time").cast("string").alias("latest")),
     "h15_run_life_cycle": lambda s, d: dates(run_life(s, d), "started_at", "ended_at"),
 }
@@ -170,7 +239,18 @@ SQL: dict[str, str] = {
     "h9_latest_manifests": sql(EVENTS + "SELECT source, city_id, max_by(run_id, (event_time, event_id)) AS run_id, max(event_time)::VARCHAR AS event_time FROM ev GROUP BY source, city_id", "customers"),
     "h10_upstream_artifacts": sql(EVENTS + "SELECT DISTINCT run_id, source || '/' || city_id AS upstream FROM ev", "customers"),
     "h11_run_totals": sql(EVENTS + "SELECT *, extracted - greatest(0, rejected - failed) AS valid FROM (SELECT run_id, sum(extracted)::BIGINT AS extracted, sum(inserted)::BIGINT AS inserted, sum(rejected)::BIGINT AS rejected, count(*) FILTER (WHERE status = 'failed') AS failed FROM st GROUP BY run_id)", "customers"),
-    "h12_stage_metrics": sql(EVENTS + "SELECT run_id, source, count(*) AS events, date_diff('day', min(event_time), max(event_time))::INT AS days FROM ev GROUP BY run_id, source", "customers"),
+    "h6_run_readiness": sql(EVENTS + f"SELECT source, city_id, status, extracted, inserted, rejected, event_time::VARCHAR AS event_time FROM st WHERE run_id = '{RUN}'", "customers"),
+    "h6_run_results": sql(EVENTS + f""", k AS (SELECT city_id AS dataset, count(*) AS n, count(*) FILTER (WHERE status = 'failed') AS f, sum(rejected)::BIGINT AS r FROM st WHERE run_id = '{RUN}' GROUP BY city_id)
+      SELECT dataset, "check", CASE WHEN ok THEN 'pass' ELSE 'fail' END AS status, details FROM (SELECT dataset, 'all_sources' AS "check", n >= 5 AS ok, n::VARCHAR AS details FROM k UNION ALL SELECT dataset, 'no_failure', f = 0, f::VARCHAR FROM k UNION ALL SELECT dataset, 'few_rejected', r <= 5, r::VARCHAR FROM k)""", "customers"),
+    "h6_run_stages": sql(EVENTS + f"SELECT source AS stage, max_by(status, (event_time, event_id)) AS status, min(event_time)::VARCHAR AS started_at, max(event_time)::VARCHAR AS ended_at, count(*) AS events FROM ev WHERE run_id = '{RUN}' GROUP BY source", "customers"),
+    "h8_latest_member_snapshot": "SELECT strftime(max(o_orderdate), '%Y%m%d') AS snapshot_id FROM orders WHERE o_orderkey % 500 = 0",
+    "h12_stage_metrics": sql(EVENTS + "SELECT run_id, source AS stage, max_by(status, (event_time, event_id)) AS status, count(*) AS events, date_diff('day', min(event_time), max(event_time))::INT AS days FROM ev GROUP BY run_id, source", "customers"),
+    "h14_replaced_state": sql(EVENTS + "SELECT run_id, source, city_id, event_id, status, extracted FROM (SELECT *, row_number() OVER (PARTITION BY run_id, source, city_id ORDER BY event_id % 3 = 0 DESC, event_time DESC, event_id DESC) AS k FROM ev) WHERE k = 1", "customers"),
+    "a1_partitioned_files": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, 'only R' FROM lineitem WHERE l_returnflag = 'R'",
+    "a9_published_runs": "SELECT l_returnflag, n + k AS n, 'r' || k AS run_id FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1), (VALUES (1), (2)) t(k)",
+    "a10_daily_history": "SELECT day, n, run_id FROM (SELECT o_orderdate::DATE::VARCHAR AS day, count(*) AS n FROM orders GROUP BY 1) JOIN (VALUES ('r1', 2), ('r2', 3)) t(run_id, k) ON n % k = 0",
+    "a11_compacted_files": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
+    "a16_rewritten_partitions": sql("SELECT member_id, CASE city_id WHEN 'ASIA' THEN 'moved' ELSE age_band END AS age_band, city_id FROM members", "members"),
     "h13_latest_times": sql(EVENTS + "SELECT source, city_id, max(event_time)::VARCHAR AS latest FROM ev GROUP BY source, city_id", "customers"),
     "h15_run_life_cycle": sql(EVENTS + "SELECT run_id, status, started_at::VARCHAR AS started_at, ended_at::VARCHAR AS ended_at, status = 'success' AS published FROM life", "customers"),
 }

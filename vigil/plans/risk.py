@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vigil.functions.expressions import clock, list_text
 from vigil.operators import marts, rules, snapshots
 from vigil.plans import catalog
 from vigil.plans.catalog import AS_OF, DECISION_DATE, ZONE
 from vigil.plans.sql import sql
-from vigil.sources import adapters
+from vigil.sources import adapters, storage
 
 KEYS, TWO, FIVE = ("city_id", "observed_at"), ("m1", "m2"), adapters.MEASURES
 NEWEST = ("extracted_at", *FIVE)
@@ -51,12 +52,38 @@ def exposure(spark: SparkSession, d: str) -> DataFrame:
     return marts.member_exposure(adapters.members(spark, d), adapters.member_conditions(spark, d), daily(spark, d), relevance)
 
 
+PUBLISHED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def published(spark: SparkSession, d: str, name: str, mart: Callable[[SparkSession, str], DataFrame], partitions: tuple[str, ...] = ("decision_date",)) -> DataFrame:
+    """A mart, written to the shared folder at its first use in an application; dates are folders, so that a query of one date reads no other."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in PUBLISHED:
+        df, path = mart(spark, d), storage.fresh_folder(spark, name)
+        storage.write(df, path, partitions)
+        PUBLISHED[key] = path, df.schema
+    path, schema = PUBLISHED[key]
+    return storage.read(spark, path, schema).select(*schema.names)
+
+
+def exposed(spark: SparkSession, d: str) -> DataFrame:
+    return published(spark, d, "exposure", exposure)
+
+
+def triggered(spark: SparkSession, d: str) -> DataFrame:
+    return published(spark, d, "triggers", triggers, ())
+
+
+def worked(spark: SparkSession, d: str) -> DataFrame:
+    return published(spark, d, "workload", workload)
+
+
 def workload(spark: SparkSession, d: str) -> DataFrame:
-    return marts.care_workload(exposure(spark, d), adapters.members(spark, d), summary(spark, d), cities(spark, d))
+    return marts.care_workload(exposed(spark, d), adapters.members(spark, d), summary(spark, d), cities(spark, d))
 
 
 def queue(spark: SparkSession, d: str) -> DataFrame:
-    return marts.outreach_queue(exposure(spark, d))
+    return marts.outreach_queue(exposed(spark, d))
 
 
 def alerts(spark: SparkSession, d: str) -> DataFrame:

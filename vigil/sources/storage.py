@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +23,25 @@ def write(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str =
     df.write.mode(mode).option("compression", "zstd").partitionBy(*partitions).parquet(path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one on a single machine, else one in the warehouse."""
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not configured and sc.master.startswith("local"):
+        configured = tempfile.mkdtemp(prefix="vigil-")
+        sc.setCheckpointDir(configured)
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/vigil"
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def publish(marts: dict[str, DataFrame], root: str, run_id: str, status: str) -> None:
     """Every mart to its partition of the run, then one row of the registry per mart. Readers join the registry,
-    so a run that failed on the way is never seen."""
+    so a run that failed on the way is never seen; tried again, it replaces what it left."""
     for name, df in marts.items():
-        write(df, f"{root}/{name}/run_id={run_id}")
+        write(df, f"{root}/{name}/run_id={run_id}", mode="overwrite")
     spark = next(iter(marts.values())).sparkSession
     counts = [(run_id, name, read(spark, f"{root}/{name}/run_id={run_id}").count(), status) for name in marts]  # a row per mart
     write(spark.createDataFrame(counts, "run_id string, dataset string, rows long, status string").coalesce(1), f"{root}/published_runs", mode="append")
