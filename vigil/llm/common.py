@@ -18,7 +18,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE = 2_000_000
+SLICE = 500_000
 U64 = np.uint64
 
 
