@@ -3,11 +3,13 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vigil.llm import ann, lm, mixing, ngram_join, packing, pii, quality, secrets, topk, toxicity
 from vigil.llm.common import Powers, byte_values, separators, slices, words
@@ -207,6 +209,50 @@ def test_values_beside_other_digits_are_found():
     assert found == [("card", 0, 19)] and fresh.endswith(" 12/27")
 
 
+def test_long_runs_are_read_once():
+    f = pii.Feistel("a")
+    for text, n in (("a." * 500_000, 0), ("a." * 500_000 + "@x.com", 1), ("a@" * 300_000, 0), ("1-" * 300_000, 0), ("GB82" * 200_000, 0)):
+        began = time.perf_counter()
+        assert len(pii.replaced(text, f)[1]) == n
+        assert time.perf_counter() - began < 10
+
+
+def test_pseudonyms_equal_a_plain_search(docs):
+    """Every place of a text is tried for every kind in order, at each end from the longest."""
+    mail = re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b", re.ASCII)
+    f = pii.Feistel(pii.DEMO_KEY)
+
+    def plain(text):
+        out, at = [], 0
+        while at < len(text):
+            for kind in pii.KINDS if text[at].isalnum() or text[at] in "+(" else ():
+                match = (mail if kind == "email" else pii.ALONE[kind]).match(text, at)
+                ends = range(match.end(), at, -1) if match and kind in pii.RUNS else [match.end()] if match else []
+                for end in ends:
+                    whole = kind not in pii.RUNS or (pii.ALONE[kind].fullmatch(text, at, end) and (end == match.end() or pii.RUNS[kind].match(text, end)))
+                    fresh = pii.PSEUDONYM[kind](text[at:end], f) if whole else None
+                    if fresh is not None:
+                        out.append((kind, at, end, fresh))
+                        break
+                if out and out[-1][1] == at:
+                    break
+            at = out[-1][2] if out and out[-1][1] == at else at + 1
+        return out
+
+    texts = {r.doc_id: r.text for r in docs.collect() if r.text and re.search("[0-9@]", r.text)}
+    n = 0
+    for r in pii.pseudonymised(docs).collect():
+        if r.doc_id in texts:
+            values = plain(texts[r.doc_id])
+            assert [(v.kind, v.start, v.stop) for v in r.__getitem__("__values")] == [v[:3] for v in values]
+            parts, at = [], 0
+            for _, a, b, fresh in values:
+                parts, at = [*parts, texts[r.doc_id][at:a], fresh], b
+            assert r.text == "".join([*parts, texts[r.doc_id][at:]])
+            n += len(values)
+    assert n
+
+
 # 4, 5
 
 
@@ -262,11 +308,70 @@ def test_nearest_examples_are_exact():
         assert index.ids[places].tolist() == order and similar == pytest.approx(exact[order])
 
 
+def test_toxicity_equals_a_plain_cosine_vote(docs, labels):
+    def terms(text):
+        found = Counter()
+        for w in re.findall(rb"[a-z0-9\x80-\xff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()):
+            found.update([(0, w), *((n, w[:n]) for n in toxicity.BEGINNINGS if len(w) > n)])
+        return {(x, least) for x, n in found.items() for least in toxicity.LEVELS if n >= least}
+
+    all_terms = {r.doc_id: terms(r.text) for r in docs.collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect() if r.toxic in (0, 1) and remainder(r.doc_id, 3) != 1}
+    held = {c: Counter(t for i, x in known.items() if x == c for t in all_terms[i]) for c in (0, 1)}
+    ones, zeros = sum(known.values()), len(known) - sum(known.values())
+    often = Counter(t for x in all_terms.values() for t in x)
+    weight = {}
+    for t in held[0] | held[1]:
+        a, b, n = held[1][t], held[0][t], ones + zeros
+        chi = n * (a * (zeros - b) - b * (ones - a)) ** 2 / (ones * zeros * (a + b) * (n - a - b + 0.5))
+        weight[t] = (math.log((1 + len(all_terms)) / (1 + often[t])) + 1) * max(1, chi / toxicity.LEAST)
+
+    def unit(i):
+        norm = math.sqrt(sum(weight[t] ** 2 for t in all_terms[i] if t in weight))
+        return {t: weight[t] / norm for t in all_terms[i] if t in weight}
+
+    examples = {i: unit(i) for i in known}
+    prior = ones / len(known)
+    share, voters = {}, {}
+    for i in all_terms:
+        own = unit(i)
+        near = sorted((-round(sum(v * own.get(t, 0) for t, v in e.items()), 12), j) for j, e in examples.items() if j != i)[: toxicity.NEAREST]
+        near = [(s, j) for s, j in near if s < 0]
+        votes = [sum(s * s for s, j in near if known[j] == c) * (zeros, ones)[c] ** -1 * (1 - prior, prior)[c] * len(known) for c in (0, 1)]
+        share[i], voters[i] = (votes[1] + toxicity.PRIOR_VOTES * prior) / (sum(votes) + toxicity.PRIOR_VOTES), [j for _, j in near]
+    order = sorted(known)
+    slope, shift = toxicity.calibration(np.array([share[i] for i in order]), np.array([float(known[i]) for i in order]), np.array([(1 - prior) * len(known) / zeros, prior * len(known) / ones])[[known[i] for i in order]])
+    for r in toxicity.score(docs, labels).collect():
+        if all_terms[r.doc_id]:
+            assert sorted(r.evidence) == sorted(voters[r.doc_id])
+            assert r.score == pytest.approx(1 / (1 + math.exp(-slope * toxicity.logit(share[r.doc_id]) - shift)), abs=1e-6)
+
+
+def test_quality_equals_a_plain_fit(docs, labels):
+    import pyarrow as pa
+
+    rows = docs.collect()
+    x = quality.statistics(pa.array([r.text for r in rows], pa.string()), Powers())
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1) and remainder(r.doc_id, 3) != 1}
+    y = np.array([known.get(r.doc_id, -1) for r in rows])
+    spread = [np.cov(x[y == c].T, bias=True) for c in (0, 1)]
+    pooled = np.diag(sum((y == c).sum() * np.diag(spread[c]) for c in (0, 1)) / (y >= 0).sum())
+    log = []
+    for c in (0, 1):
+        full = (1 - quality.SHRINK) * spread[c] + quality.SHRINK * pooled + quality.RIDGE * np.eye(x.shape[1])
+        away = x - x[y == c].mean(axis=0)
+        log.append(np.log((y == c).sum() / (y >= 0).sum()) - 0.5 * np.linalg.slogdet(full)[1] - 0.5 * np.einsum("ij,jk,ik->i", away, np.linalg.inv(full), away))
+    scores = 1 / (1 + np.exp(-np.clip((log[1] - log[0]) / math.sqrt(x.shape[1]), -500, 500)))
+    found = {r.doc_id: r.score for r in quality.score(docs, labels).collect()}
+    assert [found[r.doc_id] for r in rows] == pytest.approx(scores.tolist(), abs=1e-5)
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = toxicity.op4_toxicity_score(spark, "/root/testdata/sf0.01")
     rows = held_out_rows(found, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "toxic")
     assert sum(p == y for _, y, p in rows) >= 0.93 * len(rows)
     assert sum(p and not y for _, y, p in rows) <= 2
+    assert sum((s - y) ** 2 for s, y, _ in rows) <= 0.06 * len(rows)
 
 
 # 6, 10
@@ -362,6 +467,12 @@ def test_packing_round_trip(docs, edges, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_texts_of_one_character_a_million_times(spark):
+    texts = {1: " " * 1_000_000, 2: "\n" * 3_000_000, 3: "a" * 1_000_000, 4: "x" + " " * 2_000_000 + "y"}
+    rows = packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    check_packing(rows, texts)
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     lengths = np.random.default_rng(0).integers(1, 1024, 500)
@@ -437,6 +548,79 @@ def test_model_is_a_distribution_and_stirling_numbers_are_right():
     assert room.predictive(parent, np.arange(3)).sum() == pytest.approx(1)
 
 
+def seated_one_by_one(customers, discount, concentration, parent, sweeps):
+    """Mean tables of each dish, customers leaving and coming back one at a time."""
+    random, sizes, out = np.random.default_rng(1), [[n] for n in customers], np.zeros(len(customers))
+    for sweep in range(-100, sweeps):
+        for dish, n in enumerate(customers):
+            for _ in range(n):
+                at = random.choice(len(sizes[dish]), p=np.array(sizes[dish]) / n)
+                sizes[dish][at] -= 1
+                sizes[dish] = [x for x in sizes[dish] if x]
+                chances = np.array([x - discount for x in sizes[dish]] + [(concentration + discount * sum(map(len, sizes))) * parent[dish]])
+                at = random.choice(len(chances), p=chances / chances.sum())
+                sizes[dish] = [*sizes[dish], 1] if at == len(sizes[dish]) else [x + (i == at) for i, x in enumerate(sizes[dish])]
+        out += [len(x) for x in sizes] if sweep >= 0 else [0] * len(sizes)
+    return out / sweeps
+
+
+@pytest.mark.parametrize("tabulated", [512, 8])
+def test_tables_are_those_of_a_plain_seating(monkeypatch, tabulated):
+    monkeypatch.setattr(lm, "CUSTOMERS", tabulated)
+    customers, parent = [6, 3, 1, 25], np.array([0.1, 0.3, 0.05, 0.2])
+    room, mean = lm.Restaurant(np.array(customers, dtype=float), (0.75, 5.0), lm.stirling(0.75), 1), np.zeros(4)
+    for sweep in range(-50, 3000):
+        room.sweep(parent)
+        mean += room.t / 3000 if sweep >= 0 else 0
+    assert mean == pytest.approx(seated_one_by_one(customers, 0.75, 5.0, parent, 1000), rel=0.08)
+
+
+def test_limit_of_many_customers_is_that_of_stirling_numbers(monkeypatch):
+    monkeypatch.setattr(lm, "CUSTOMERS", 1200)
+    t = np.arange(1, 1201)
+    for rate in (3.0, 40.0, 500.0):
+        weight = lm.stirling(0.6)[1200, 1:] + t * math.log(0.6 * rate)
+        p = np.exp(weight - weight.max())
+        drawn = lm.Restaurant(np.ones(1), (0.6, 1.0), None, 1).of_many(np.full(20_000, 1200.0), np.full(20_000, rate))
+        assert drawn.mean() == pytest.approx((p * t).sum() / p.sum(), rel=0.02)
+
+
+def test_scores_are_those_of_the_averaged_model(docs, monkeypatch):
+    """The sum over a text's tokens of the model's probability, and of the word's share of its dish, by plain loops."""
+    models = []
+    monkeypatch.setattr(lm, "sampled", lambda counts, width, own=lm.sampled: models.append(own(counts, width)) or models[-1])
+    monkeypatch.setattr(lm, "DISHES", 50)
+    rows = docs.limit(60).collect()
+    some = docs.sparkSession.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in lm.score(some).collect()}
+    assert np.allclose((10.0 ** models[0].astype(float)).sum(axis=1), 1, atol=1e-4)
+    train = Counter(w for r in rows if remainder(r.doc_id, 10) for w in tokens(r.text))
+    size = lambda w: min(len(w.encode()), lm.CLASSES) - 1
+    least = sorted(train.values(), reverse=True)[49]
+    if sorted(train.values(), reverse=True)[50] < least:  # no tie at the last dish
+        dishes = {w for w, n in train.items() if n >= least}
+        hashed = {}
+        import pyarrow as pa
+        for w in dishes:
+            hashed[w] = next(lm.word_keys(pa.array([w], pa.string()), Powers()))[0][0]
+        place = {w: i for i, w in enumerate(sorted(dishes, key=hashed.get))}
+        rest = Counter({k: 0 for k in range(lm.CLASSES)})
+        kinds = Counter()
+        for w, n in train.items():
+            if w not in dishes:
+                rest[size(w)] += n
+                kinds[size(w)] += 1
+        for r in rows:
+            at, total = 50 + lm.CLASSES, 0.0
+            for w in [*tokens(r.text), None]:
+                to = 50 + lm.CLASSES if w is None else place.get(w, 50 + size(w))
+                total += models[0][at, to]
+                if w is not None and w not in place:
+                    total += math.log10((train[w] + 0.1) / (rest[size(w)] + 0.1 * (kinds[size(w)] + 1)))
+                at = to
+            assert found[r.doc_id] == pytest.approx(total, rel=1e-5)
+
+
 def test_language_model_edges(edges, empty):
     rows = lm.score(edges).collect()
     assert len(rows) == len(EDGES) and all(math.isfinite(r.score) and r.score <= 0 for r in rows)
@@ -460,6 +644,48 @@ def test_pipeline_stages(spark, docs):
     assert not any(spans(r.text) for r in corpus_pipeline.secret_redaction(spark, docs, DATA).collect())
 
 
+CLASHING = ("__doc_id", "__row", "__spans", "__kinds", "__size", "__source", "__source_size", "__target", "__rate", "__copies", "__copy", "__label", "__values", "__class", "component_id", "token", "node", "group", "shard", "score")
+
+
+def test_stages_keep_columns_whose_names_clash(spark, edges, labels):
+    import corpus_pipeline
+
+    wide = edges
+    for name in CLASHING:
+        wide = wide.withColumn(name, F.concat(F.lit(f"{name}:"), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, wide, DATA)
+        assert after.columns == wide.columns, name
+        assert all(r[c] == (None if r.doc_id is None else f"{c}:{r.doc_id}") for r in after.collect() for c in CLASHING)
+    for run in (packing.pack, lm.score, pii.pseudonymised, mixing.mix, secrets.scan, lambda x: ngram_join.near_duplicates(x, 3, 90), lambda x: quality.score(x, labels), lambda x: toxicity.score(x, labels)):
+        assert run(wide).count() >= len(EDGES)
+    numbers = spark.range(60).selectExpr("id as vec_id", "array(cast(id % 7 as float), 1f) as embedding", "id as query_id", "id as rank", "id as score", "id as part", "id as block", "id as __x")
+    assert topk.top_k(numbers, 20, 5).count() == 15 and ann.search(numbers, 20, 5).count() == 15
+
+
+def test_searches_of_repeated_ids(spark):
+    df = vectors(spark, [(i // 2, [1.0, float(i % 5), 0.5, 0.0], 0) for i in range(80)])
+    for found in (topk.top_k(df, 20, 5), ann.search(df, 20, 5)):
+        assert all(r.vec_id != r.query_id for r in found.collect()) and found.count() > 0
+
+
+def test_pipeline_equals_its_stages_one_after_the_other(spark, tmp_path):
+    import corpus_pipeline
+
+    ids = lambda df: sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in df.collect())
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    scored = {r.doc_id: r.score for r in quality.score(docs, spark.read.parquet(f"{DATA}/labels.parquet")).collect()}
+    rows = [r for r in docs.collect() if scored[r.doc_id] >= 0.5]
+    whole = components([(r.doc_id, r.text) for r in rows], 5, 80)
+    rows = [r for r in rows if whole[r.doc_id][1] == r.doc_id]
+    left = spark.createDataFrame(rows, docs.schema)
+    redacted = {r.doc_id: r.text for r in secrets.redact(left).collect()}
+    assert set(redacted) == {r.doc_id for r in rows} and all(not spans(x) for x in redacted.values())
+    copies = {r.doc_id: r.__getitem__("__copies") for r in mixing.mix(left.drop("text", "n_chars").join(spark.createDataFrame(list(redacted.items()), "doc_id long, text string"), "doc_id")).collect()}
+    packed = [r for r in ids(corpus_pipeline.run(spark, DATA))]
+    assert Counter(i for i, piece, *_ in packed if piece == 0) == Counter({i: n for i, n in copies.items() if n})
+
+
 def test_pipeline_stages_take_edges_and_nothing(spark, edges, empty):
     import corpus_pipeline
 

@@ -44,6 +44,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and the whole row as __row: no other name of df can clash with those that are added after."""
+    return df.select(F.struct(*(F.col(f"`{x}`") for x in df.columns)).alias("__row"), *names)
+
+
 def sent(spark: SparkSession, value: object) -> Broadcast:
     """value as a broadcast for received(): with the code of this package's classes, which tasks may not find otherwise."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import stored, table
+from vigil.llm.common import stored, table, with_row
 
 #: Up to so many sources the table of rates is broadcast (some 100 bytes each); beyond, the join shuffles.
 BROADCAST_SOURCES = 10_000
@@ -60,9 +60,8 @@ def source_rates(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHAR
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """docs with size, source_size, target and copies: how often the mix takes each document."""
-    added = {"__size": size_of(F.col("text"))}
-    sized = docs.withColumns(added)
+    """docs with __size, __source_size, __target and __copies: how often the mix takes each document. Columns of these names are replaced."""
+    sized = docs.drop("__source", "__source_size", "__target", "__rate", "__copies").withColumn("__size", size_of(F.col("text")))
     rates = stored(source_rates(sized.select("source", F.col("__size").alias("size")), weights, share, most))
     rates = rates.withColumnsRenamed({"source": "__source", "source_size": "__source_size", "target": "__target", "rate": "__rate"})
     rates = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
@@ -73,8 +72,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
 
 def emitted(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as mix() says, columns as in docs."""
-    mixed = mix(docs, **options).filter(F.col("__copies") > 0)
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    mixed = mix(with_row(docs, "doc_id", "text", "source"), **options).filter(F.col("__copies") > 0)
+    copies = mixed.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return copies.select(*(F.col("__row").getField(x).alias(x) for x in docs.columns))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

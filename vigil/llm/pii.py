@@ -250,7 +250,8 @@ def replaced(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
 
 
 def pseudonymised(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
-    """docs with pseudonyms in text, and __values: (kind, start, end) of each."""
+    """docs with pseudonyms in text, and __values: (kind, start, end) of each. A column of that name is replaced."""
+    docs = docs.drop("__values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Feistel(key)

@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import table
+from vigil.llm.common import table, with_row
 
 
 class Rule(NamedTuple):
@@ -145,8 +145,8 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with __spans: (start, stop, order, kind) of every secret, by start and then by order of the rules."""
-    text = F.coalesce("text", F.lit(""))
+    """docs with __spans: (start, stop, order, kind) of every secret, by start and then by order of the rules. A column of that name is replaced."""
+    docs, text = docs.drop("__spans", "__doc_id", "__kinds"), F.coalesce("text", F.lit(""))
     none = F.expr("cast(array() as array<struct<start:int,stop:int,order:int,kind:string>>)")
     opened = candidates(docs.select("doc_id", "text"), rules).withColumnsRenamed({"doc_id": "__doc_id", "kinds": "__kinds"})
     joined = docs.join(opened, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left")
@@ -174,8 +174,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         return F.when(x["start"] >= acc["at"], fresh).otherwise(longer)
 
     whole = F.aggregate("__spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    cleaned = scan(docs, rules).withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(text)).drop("__spans")
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
+    cleaned = scan(with_row(docs, "doc_id", "text"), rules).withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(text))
+    fresh = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return cleaned.select(*(fresh.get(x, F.col("__row").getField(x)).alias(x) for x in docs.columns))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
