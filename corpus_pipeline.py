@@ -34,8 +34,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, packed into sequences."""
-    return packing.pack(docs)
+    """Pieces of all documents, packed into sequences of at most 1,024 tokens and 32 documents."""
+    return packing.pack(docs, packing.Capacity(documents=32, weights=(1.0, 0.1, 1e-3)))
 
 
 STAGES = [
