@@ -172,7 +172,7 @@ def test_impact_of_one_more_city(spark):
 def test_lifecycle_has_all_statuses(spark):
     rows = [("2030-01-01", "r1", 1, "x", "a", 1), ("2030-01-01", "r1", 2, "x", "a", 1), ("2030-01-01", "r1", 3, "x", "a", 1), ("2030-01-02", "r2", 1, "x", "a", 1), ("2030-01-02", "r2", 2, "x", "a", 3), ("2030-01-02", "r2", 4, "x", "a", 1), ("2030-01-02", "r1", 9, "x", "a", 1)]
     df = spark.createDataFrame(rows, "d string, run_id string, member_id int, city_id string, rule_id string, severity_rank int").withColumn("decision_date", F.to_date("d")).drop("d")
-    assert {r.lifecycle_status: r.members for r in serving.risk_lifecycle(df, "2030-01-02").collect()} == {"new": 1, "escalated": 1, "continuing": 1, "resolved": 1}
+    assert {r.change: r.members for r in serving.risk_lifecycle(df, "2030-01-02").collect()} == {"new": 1, "escalated": 1, "continuing": 1, "resolved": 1}
 
 
 def test_member_reconciliation(spark):
@@ -255,3 +255,45 @@ def test_reference_integrity_reads_every_order(spark):
     orphans, twice = [m for m, _ in links if m not in ours], [m for m, c in set(links) if links.count((m, c)) > 1]
     found = {r.violation: (r.n, r.ids) for r in plans.QUERIES["c14_reference_integrity"](spark, d).collect()}
     assert found == {"orphan_link": (len(orphans), len(set(orphans))), "repeated_link": (len(twice), len(set(twice)))}
+
+
+def test_zoneless_text_is_utc_in_any_zone(spark):
+    df = spark.createDataFrame([("2024-01-01T00:00:00",), ("2024-01-01T00:00:00Z",), ("2024-01-01T05:30:00+05:30",), ("2024-01-01",), ("x",), (None,)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        assert [r[0] for r in df.select(F.unix_seconds(validation.text_time(F.col("t")))).collect()] == [1704067200] * 4 + [None] * 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_next_state_takes_nulls_that_came_in(spark):
+    incoming = spark.createDataFrame([(1, None)], "member_id int, city_id string")
+    current = spark.createDataFrame([(1, "x", True), (2, "y", True)], "member_id int, city_id string, active boolean")
+    state = reference.next_state(reference.reconciled(incoming, current, "member_id"), "member_id")
+    assert {(r.member_id, r.city_id, r.active) for r in state.collect()} == {(1, None, True), (2, "y", False)}
+
+
+def test_empty_ids_are_violations(spark):
+    members = spark.createDataFrame([("a",), ("",), (" ",), (None,)], "member_id string")
+    links = spark.createDataFrame([("a", "c")], "member_id string, condition string")
+    assert [r.violation for r in reference.integrity_violations(members, links).collect()] == ["empty_id"] * 3
+
+
+def test_integrity_counts_each_breach(spark):
+    window = "decision_date date, ruleset_version string, rule_id string, city_id string, window_start timestamp_ntz, member_id int, priority_score int, outreach_consent boolean, outreach_eligible boolean"
+    day, start = datetime.date(2024, 1, 1), datetime.datetime(2024, 1, 1)
+    exposure = spark.createDataFrame([(day, "v", "r", "x", start, 1, 4, True, True), (day, "v", "r", "x", start, 2, 1, False, False)], window)
+    queue = exposure.unionByName(exposure.filter("member_id = 1")).unionByName(exposure.filter("member_id = 1").withColumn("rule_id", F.lit("other")))
+    alerts = spark.createDataFrame([(day, "r", "x", start, 5, 1)], "decision_date date, rule_id string, city_id string, window_start timestamp_ntz, eligible_members int, high_priority_members int")
+    triggers = spark.createDataFrame([("v", "r", "x", start, start, 1, 3)], "ruleset_version string, rule_id string, city_id string, window_start timestamp_ntz, window_end timestamp_ntz, observed_persistence_hours int, persistence_hours int")
+    workload = spark.createDataFrame([(day, "x", 9, 1, 1, 3)], "decision_date date, city_id string, at_risk_members int, contactable_members int, high_priority_members int, total_members int")
+    row = quality.integrity(exposure, queue, alerts, triggers, workload, spark.createDataFrame([("y",)], "city_id string")).first()
+    assert tuple(row) == (1, 1, 1, 1, 2, 6, 1, 1, 1)
+
+
+def test_a_failed_run_is_published_when_tried_again(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    storage.write(spark.range(9).toDF("x"), f"{root}/a/run_id=r1")  # what a run left that then failed
+    storage.publish({"a": spark.range(3).toDF("x")}, root, "r1", "success")
+    assert storage.published(spark, root, "a").count() == 3
