@@ -15,8 +15,8 @@ Sets that share too few tokens with all others together take no further part.
 
 The rest are dealt into groups of similar ones: a token's hub is one of its sets,
 the same one for most tokens of a family, and sets with the same hub, or hub of
-hubs, are grouped. Links within the groups are found first, each group with the
-hub of hubs besides, so that a family of linked copies is one component by then.
+a hub, are grouped. Links within the groups are found first, each group with the
+hub's hub besides, so that a family of linked copies is one component by then.
 The matrix holds each group's union of coarse tokens; two groups are opened for
 each other if the unions share o tokens that sets of different components have.
 
@@ -49,7 +49,7 @@ from vigil.llm.common import U64, Powers, byte_values, mix64, separators, shared
 from vigil.llm.components import components
 
 #: Sets in a group at most, and their shingles, about; larger groups of similar sets are split. Queries of a task, as groups.
-GROUP, SHINGLES, QUERIES = 256, 1_000_000, 4
+GROUP, SHINGLES, QUERIES = 256, 500_000, 2
 #: Coarse tokens in a bucket, about, and those that a task gathers before it passes them on.
 BUCKET, FLUSH = 500_000, 1_000_000
 #: Places in a block.
@@ -258,16 +258,42 @@ def links(queries: list[np.ndarray], members: list[np.ndarray], percent: int) ->
     return opened[q], m
 
 
+def within(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) for the sets of each group (target, root, node, shingles) that links within it reach others from: b stands for
+    all of them, and is the root if they reach that."""
+
+    def run(part: pa.Table) -> pa.Table:
+        ids, top = part["node"].to_numpy(), part["root"][0].as_py()
+        sets = [np.frombuffer(x, dtype=U64) for x in part["shingles"].to_pylist()]
+        q, m = links(sets, sets, percent)
+        kept = q < m
+        near: dict[int, list[int]] = {}
+        for x, y in forest(ids[q[kept]], ids[m[kept]]):
+            near.setdefault(x, []).append(y)
+            near.setdefault(y, []).append(x)
+        edges, left = [], set(near)
+        for start in [top, *sorted(near)]:
+            reached = [start] if start in left else []
+            left.discard(start)
+            for x in reached:  # grows while it is walked
+                fresh = [y for y in near[x] if y in left]
+                left.difference_update(fresh)
+                reached += fresh
+            edges += [(x, start) for x in reached[1:]]
+        return pa.table([pa.array([x for x, _ in edges], pa.int64()), pa.array([y for _, y in edges], pa.int64())], names=["a", "b"])
+
+    return members.groupBy("target").applyInArrow(run, "a long, b long")
+
+
 def verified(sides: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the links between the sides of each task (target, chunk, side, node, shingles); with one side, within it."""
+    """Edges (a, b) of a spanning forest of the links between the sides of each task (target, chunk, side, node, shingles)."""
 
     def run(part: pa.Table) -> pa.Table:
         side, ids = part["side"].to_numpy(), part["node"].to_numpy()
         sets = [np.frombuffer(x, dtype=U64) for x in part["shingles"].to_pylist()]
         first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        first = first if len(first) else second  # a group opened for itself
         edges = []
-        if len(second):
+        if len(first) and len(second):
             q, m = links([sets[i] for i in first], [sets[i] for i in second], percent)
             a, b = ids[first[q]], ids[second[m]]
             edges = list(forest(a[a != b], b[a != b]))
@@ -300,12 +326,10 @@ def grouped(entries: DataFrame) -> DataFrame:
     """
     one = F.first("n_shingles").alias("n_shingles")
     hubs = entries.groupBy("class", "hub").agg(F.count("*").alias("k"), one).groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), one).checkpoint()
-    root = hubs.select("class", F.col("hub").alias("root"))
-    for _ in range(2):  # twice doubled: four steps
-        root = root.join(root.toDF("root", "up"), "root", "left").select("class", F.coalesce("up", "root").alias("root"))
+    up = hubs.select(F.col("class").alias("hub"), F.col("hub").alias("up"))
     weight = 1 / F.lit(GROUP) + F.col("n_shingles") / F.lit(SHINGLES)
-    wide = hubs.withColumn("weight", weight).join(root, "class")
-    wide = wide.join(hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")), "hub")
+    of_hub = hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")).join(up, "hub", "left").select("hub", "of_hub", F.coalesce("up", "hub").alias("root"))
+    wide = hubs.withColumn("weight", weight).join(of_hub, "hub")
     rest = wide.filter("of_hub < 0.5").groupBy("root").agg(F.sum("weight").alias("of_root"))
     own = F.xxhash64(F.lit(1), "hub", F.pmod(F.xxhash64("class"), F.ceil("of_hub")))
     common = F.xxhash64(F.lit(0), "root", F.pmod(F.xxhash64("hub"), F.ceil("of_root")))
@@ -339,9 +363,9 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     sets = stored(shingles_of(docs.join(F.broadcast(names) if few else names, "doc_id"), width))
 
     # first within groups, each with its root besides; what that links need not be opened again
-    inside = groups.select(F.col("class").alias("node"), F.col("group").alias("target")).union(groups.select("root", "group").distinct()).distinct()
-    first = verified(inside.join(sets.drop("group"), "node").select("target", F.lit(0).alias("chunk"), F.lit(1).alias("side"), "node", "shingles"), percent).checkpoint()
-    linked = components(first).toDF("class", "component")
+    inside = groups.select(F.col("class").alias("node"), F.col("group").alias("target"), "root").union(groups.select("root", "group", "root")).distinct()
+    first = within(inside.join(sets.drop("group"), "node"), percent).checkpoint()
+    linked = first.toDF("class", "component")
     matrix = entries.select("token", "class", "need").join(groups.select("class", "group"), "class").join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
     matrix = matrix.groupBy("token", "need", "group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     left, right = matrix.toDF("token", "need", "g", "low_g", "high_g"), matrix.drop("need").toDF("token", "h", "low_h", "high_h")
@@ -360,8 +384,9 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     linked = components(first.unionByName(second).checkpoint()).toDF("class", "component")
     labelled = classes.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # sets that only rows without an id have are of no class, and get no component
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    labelled = labelled.join(smallest, "component").select(*keys, "component_id", "copies")
+    labelled = labelled.join(smallest, "component", "left").select(*keys, "component_id", "copies")
     return with_components(found, labelled, keys)
 
 
@@ -381,8 +406,9 @@ def with_components(found: DataFrame, labelled: DataFrame, keys: list[str]) -> D
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs without near duplicates: of each component the row with the smallest id stays, and every row without an id."""
     found = near_duplicates(docs, width, percent)
-    dropped = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__doc_id"), "left_anti")
+    name = "_".join(["dropped", *docs.columns])  # none of theirs
+    dropped = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col(f"`{name}`"), "left_anti")
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
