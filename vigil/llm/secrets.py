@@ -111,9 +111,8 @@ def trigram_query(pattern: str, most: int = 64) -> list[frozenset[str]] | None:
 
 def trigram_postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """(trigram, doc_id) for those of the trigrams that a text holds in lower case."""
-    lower = F.lower("text")
-    held = F.filter(F.array(*map(F.lit, trigrams)), lambda t: F.contains(lower, t))
-    return docs.select("doc_id", F.explode(held).alias("trigram"))
+    lowered = docs.select("doc_id", F.lower("text").alias("low"))  # a column below the generator: once, not for each trigram
+    return lowered.select("doc_id", F.explode(F.filter(F.array(*map(F.lit, trigrams)), lambda t: F.contains(F.col("low"), t))).alias("trigram"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
