@@ -18,7 +18,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE = 500_000
+SLICE = 250_000
 U64 = np.uint64
 
 
@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one on a single machine, else one in the warehouse."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="vigil-checkpoint-")
+        configured = tempfile.mkdtemp(prefix="vigil-checkpoint-") if sc.master.startswith("local") else f"{spark.conf.get('spark.sql.warehouse.dir')}/vigil"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured

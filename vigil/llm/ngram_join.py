@@ -51,7 +51,7 @@ from vigil.llm.components import components
 #: Sets in a group at most, and their shingles, about; larger groups of similar sets are split. Queries of a task, as groups.
 GROUP, SHINGLES, QUERIES = 256, 500_000, 2
 #: Coarse tokens in a bucket, about, and those that a task gathers before it passes them on.
-BUCKET, FLUSH = 500_000, 1_000_000
+BUCKET, FLUSH = 200_000, 250_000
 #: Places in a block.
 PLACE_BITS = 15
 PLACES = 1 << PLACE_BITS
