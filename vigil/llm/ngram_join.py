@@ -319,13 +319,13 @@ def shingles_of(texts: DataFrame, width: int) -> DataFrame:
 
 
 def grouped(entries: DataFrame) -> DataFrame:
-    """(class, group, root, weight): groups of similar sets, from entries (token, class, need, n_shingles, hub).
+    """(class, group, root, size): groups of similar sets, from entries (token, class, need, n_shingles, hub); size is the group's, about.
 
     A set's hub is the one of its tokens' hubs that most of them have, its root the hub of hubs. The sets of a hub are
     groups of their own if they fill half of one at least; those of the root's other hubs are groups together.
     """
     one = F.first("n_shingles").alias("n_shingles")
-    hubs = entries.groupBy("class", "hub").agg(F.count("*").alias("k"), one).groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), one).checkpoint()
+    hubs = entries.repartition("class").groupBy("class", "hub").agg(F.count("*").alias("k"), one).groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), one).checkpoint()
     up = hubs.select(F.col("class").alias("hub"), F.col("hub").alias("up"))
     weight = 1 / F.lit(GROUP) + F.col("n_shingles") / F.lit(SHINGLES)
     of_hub = hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")).join(up, "hub", "left").select("hub", "of_hub", F.coalesce("up", "hub").alias("root"))
@@ -333,7 +333,8 @@ def grouped(entries: DataFrame) -> DataFrame:
     rest = wide.filter("of_hub < 0.5").groupBy("root").agg(F.sum("weight").alias("of_root"))
     own = F.xxhash64(F.lit(1), "hub", F.pmod(F.xxhash64("class"), F.ceil("of_hub")))
     common = F.xxhash64(F.lit(0), "root", F.pmod(F.xxhash64("hub"), F.ceil("of_root")))
-    return wide.join(rest, "root", "left").select("class", F.when(F.col("of_hub") >= 0.5, own).otherwise(common).alias("group"), "root", "weight")
+    large, whole = F.col("of_hub") >= 0.5, F.when(F.col("of_hub") >= 0.5, F.col("of_hub")).otherwise(F.col("of_root"))
+    return wide.join(rest, "root", "left").select("class", F.when(large, own).otherwise(common).alias("group"), "root", (whole / F.ceil(whole)).alias("size"))
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -366,20 +367,19 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     inside = groups.select(F.col("class").alias("node"), F.col("group").alias("target"), "root").union(groups.select("root", "group", "root")).distinct()
     first = within(inside.join(sets.drop("group"), "node"), percent).checkpoint()
     linked = first.toDF("class", "component")
-    matrix = entries.select("token", "class", "need").join(groups.select("class", "group"), "class").join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    matrix = matrix.groupBy("token", "need", "group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left, right = matrix.toDF("token", "need", "g", "low_g", "high_g"), matrix.drop("need").toDF("token", "h", "low_h", "high_h")
+    matrix = entries.select("token", "class", "need").join(groups.select("class", "group", "size"), "class").join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    matrix = matrix.groupBy("token", "need", "group").agg(F.first("size").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    left, right = matrix.toDF("token", "need", "g", "size_g", "low_g", "high_g"), matrix.drop("need").toDF("token", "h", "size_h", "low_h", "high_h")
     across = left.join(right, "token").filter("g < h AND NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
-    opened = across.groupBy("g", "h", "need").agg(F.count("*").alias("shared")).filter("shared >= need").select("g", "h").distinct()
+    opened = across.groupBy("g", "h", "need").agg(F.count("*").alias("shared"), F.first("size_g").alias("size_g"), F.first("size_h").alias("size_h")).filter("shared >= need")
 
     # the smaller group's sets are queries to the larger one, in chunks
-    sizes = groups.groupBy("group").agg(F.sum("weight").alias("size"))
-    pairs = opened.join(sizes.toDF("g", "size_g"), "g").join(sizes.toDF("h", "size_h"), "h")
     larger = F.struct("size_g", "g") > F.struct("size_h", "h")
-    pairs = pairs.select(F.when(larger, F.col("g")).otherwise(F.col("h")).alias("target"), F.when(larger, F.col("h")).otherwise(F.col("g")).alias("group"), F.least("size_g", "size_h").alias("size")).checkpoint()
-    chunks = pairs.groupBy("target").agg(F.ceil(F.sum("size") / QUERIES).alias("chunks"))
-    asked = pairs.join(chunks, "target").select("target", F.pmod(F.xxhash64("group"), "chunks").alias("chunk"), F.lit(0).alias("side"), "group")
-    told = chunks.select("target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("side"), F.col("target").alias("group"))
+    pairs = opened.select(F.when(larger, F.col("g")).otherwise(F.col("h")).alias("target"), F.when(larger, F.col("h")).otherwise(F.col("g")).alias("group"), F.least("size_g", "size_h").alias("size"))
+    pairs = pairs.repartition("target").distinct()  # a pair may be opened in two ranges
+    pairs = pairs.withColumn("chunks", F.ceil(F.sum("size").over(Window.partitionBy("target")) / QUERIES)).checkpoint()
+    asked = pairs.select("target", F.pmod(F.xxhash64("group"), "chunks").alias("chunk"), F.lit(0).alias("side"), "group")
+    told = pairs.select("target", "chunks").distinct().select("target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("side"), F.col("target").alias("group"))
     second = verified(asked.unionByName(told).join(sets, "group").select("target", "chunk", "side", "node", "shingles"), percent)
 
     linked = components(first.unionByName(second).checkpoint()).toDF("class", "component")
