@@ -206,13 +206,14 @@ class Index:
         term = np.concatenate([examples[i].terms for i in order]) if order else np.zeros(0, dtype=np.int64)
         place, value = np.repeat(np.arange(len(order)), lengths), np.concatenate([own[i] for i in order]) if order else np.zeros(0)
         by_term = np.lexsort((place, term))
-        term, self.place, self.value = term[by_term], place[by_term], value[by_term]
-        pair = term * max(1, self.n_blocks) + self.place // BLOCK
+        term, place, self.value = term[by_term], place[by_term], value[by_term]
+        pair = term * max(1, self.n_blocks) + place // BLOCK
         first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, dtype=np.int64)
-        self.begin = np.append(first, len(pair))  # where the postings of each term and block begin
-        self.block = self.place[first] // BLOCK
+        # at most 2 * SAMPLE places: small numbers, as the index is broadcast
+        self.place, self.block = place.astype(np.uint16), (place[first] // BLOCK).astype(np.uint16)
+        self.begin = np.append(first, len(pair)).astype(np.int32)  # where the postings of each term and block begin
         self.most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0)
-        self.of_term = np.searchsorted(term[first], np.arange(len(weight) + 1))  # where the blocks of each term begin
+        self.of_term = np.searchsorted(term[first], np.arange(len(weight) + 1)).astype(np.int32)  # where the blocks of each term begin
 
     def nearest(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and similarities of the k nearest examples with any term in common, exactly."""
@@ -310,18 +311,19 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bare = [e for e in sampled if not len(e.terms)]
     for_, against = sum(e.toxic for e in bare) * votes[1], sum(1 - e.toxic for e in bare) * votes[0]
     voter = Voter(Index([e for e in sampled if len(e.terms)], weight), votes, prior, (for_ + prior) / (for_ + against + 1))
-    bases, place = words_.places()
+    shared = sent(spark, (voter, *words_.places()))  # once: it is kept on the disk of the driver and of each executor
 
-    def scored(rows: DataFrame, model: Voter, calibrated: bool) -> DataFrame:
-        shared, names = sent(spark, (model, bases, place)), [x for x in rows.columns if x != "text"]
+    def scored(rows: DataFrame, curve: tuple[float, float] | None) -> DataFrame:
+        names = [x for x in rows.columns if x != "text"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             powers, (model, bases, place) = Powers(), received(shared)
+            model = model._replace(slope=curve[0], shift=curve[1]) if curve else model
             for batch in batches:
                 ids, found = batch["doc_id"].to_pylist(), []
                 for terms, cut in found_terms(batch["text"], bases, place, powers):
                     for low, high in zip(cut[:-1], cut[1:], strict=True):
-                        found.append((model.score if calibrated else model.raw)(ids[len(found)], terms[low:high]))
+                        found.append((model.score if curve else model.raw)(ids[len(found)], terms[low:high]))
                 scores, evidence = zip(*found, strict=True) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=[*names, "score", "evidence"])
 
@@ -330,10 +332,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     # each example is scored by the others, and the curve from votes to labels is fitted to that
     known = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(max(1, ceil(len(sampled) / SCORED)))
-    own = scored(known, voter, False).select("toxic", "score").toArrow()
+    own = scored(known, None).select("toxic", "score").toArrow()
     toxic = own["toxic"].to_numpy().astype(float)
-    slope, shift = calibration(own["score"].to_numpy(), toxic, np.where(toxic > 0, votes[1], votes[0]))
-    return scored(docs.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "text"), voter._replace(slope=slope, shift=shift), True)
+    curve = calibration(own["score"].to_numpy(), toxic, np.where(toxic > 0, votes[1], votes[0]))
+    return scored(docs.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "text"), curve)
 
 
 def op4_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
