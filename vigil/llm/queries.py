@@ -1,6 +1,6 @@
 """Queries and SQL of this subpackage, by name."""
 
-from vigil.llm import ann, lm, middle, mixing, ngram_join, packing, pii, quality, runs, secrets, topk, toxicity
+from vigil.llm import ann, lm, middle, mixing, ngram_join, packing, pii, quality, recompression, runs, secrets, topk, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_source_mix": mixing.op8_source_mix,
     "op9_pitman_yor_score": lm.op9_pitman_yor_score,
     "op10_learned_partitions": ann.op10_learned_partitions,
+    "op11_substring_dedup": recompression.op11_substring_dedup,
     "op12_periodic_runs": runs.op12_periodic_runs,
     "op13_fill_in_middle": middle.op13_fill_in_middle,
 }
@@ -20,5 +21,6 @@ SQL = {
     "op2_secret_scan": secrets.OP2_SQL,
     "op6_exact_top_k": topk.OP6_SQL,
     "op8_source_mix": mixing.OP8_SQL,
+    "op11_substring_dedup": recompression.OP11_SQL,
     "op13_fill_in_middle": middle.OP13_SQL,
 }
