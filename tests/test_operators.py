@@ -23,7 +23,7 @@ def hourly(spark, temperatures, start=T0, city="x", skip=()):
 
 
 def rule(spark, predicates, hours, bands=None, months=tuple(range(1, 13))):
-    row = ("v", "r", ["x"], list(months), predicates, bands, hours, "medium", "signal", "category", "p")
+    row = ("v", "r", ["x"], list(months), [(*p, "instantaneous", None) for p in predicates], bands, hours, "medium", "signal", "category", "p")
     return spark.createDataFrame([row], rules.SCHEMA)
 
 
@@ -150,25 +150,6 @@ def test_series_contract(spark):
     assert {r.k: r.accepted for r in validation.series_violations(df, "k", "i", "ts", 1, 2, True).collect()}["b"]
 
 
-def test_conflicts(spark):
-    def one(i, predicates, cities=("x",)):
-        return ("v", i, list(cities), [1], predicates, None, 1, "low", "s", "c", "p")
-
-    p, q = ("m", ">=", "absolute", 1.0, None), ("n", ">=", "absolute", 2.0, None)
-    df = spark.createDataFrame([one("a", [p]), one("b", [p], ("x", "y")), one("c", [p, q]), one("d", [("m", ">=", "absolute", 3.0, None)]), one("e", [("m", ">=", "absolute", 5.0, None), ("m", "<=", "absolute", 4.0, None)])], rules.SCHEMA)
-    found = {(r.first_rule, r.second_rule): r.conflict for r in rules.rule_conflicts(df).collect()}
-    assert found == {("a", "b"): "duplicate_scope", ("a", "c"): "nested", ("b", "c"): "nested", ("a", "d"): "threshold_overlap"}
-    assert [r.rule_id for r in rules.impossible_ranges(df).collect()] == ["e"]
-
-
-def test_impact_of_one_more_city(spark):
-    old = rule(spark, ABOVE_40, 1)
-    new = old.withColumn("cities", F.array(F.lit("x"), F.lit("y")))
-    people = spark.createDataFrame([("x", 5), ("y", 7)], "city_id string, members int")
-    row = rules.change_impact(old, new, people).first()
-    assert (row.rules_changed, row.scopes_added, row.scopes_removed, row.affected_cities, row.estimated_members) == (1, 12, 0, 2, 12)
-
-
 def test_lifecycle_has_all_statuses(spark):
     rows = [("2030-01-01", "r1", 1, "x", "a", 1), ("2030-01-01", "r1", 2, "x", "a", 1), ("2030-01-01", "r1", 3, "x", "a", 1), ("2030-01-02", "r2", 1, "x", "a", 1), ("2030-01-02", "r2", 2, "x", "a", 3), ("2030-01-02", "r2", 4, "x", "a", 1), ("2030-01-02", "r1", 9, "x", "a", 1)]
     df = spark.createDataFrame(rows, "d string, run_id string, member_id int, city_id string, rule_id string, severity_rank int").withColumn("decision_date", F.to_date("d")).drop("d")

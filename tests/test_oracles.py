@@ -5,11 +5,11 @@ import os
 import duckdb
 import pytest
 
-from vigil.plans import checks, operations, risk, serving
+from vigil.plans import checks, operations, review, risk, serving
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-PLANS = {name: (plan.QUERIES[name], plan.SQL.get(name)) for plan in (risk, serving, checks, operations) for name in plan.QUERIES}
+PLANS = {name: (plan.QUERIES[name], plan.SQL.get(name)) for plan in (risk, serving, checks, review, operations) for name in plan.QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -1,4 +1,4 @@
-"""Rule catalogs: compiled tables, merges, checks, conflicts between rules, and the impact of a change.
+"""Rule catalogs: compiled tables, merges and checks.
 
 A catalog is a frame of rules: ruleset_version, rule_id, cities and months
 (arrays), predicates and bands (arrays of structs; bands may be null),
@@ -7,13 +7,13 @@ persistence_hours, severity, signal_name, signal_category, condition_profile.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.expressions import rank_of
 
 SCHEMA = """ruleset_version string, rule_id string, cities array<string>, months array<int>,
-  predicates array<struct<metric:string,operator:string,comparison:string,threshold:double,baseline_percentile:string>>,
+  predicates array<struct<metric:string,operator:string,comparison:string,threshold:double,baseline_percentile:string,function:string,window_hours:int>>,
   bands array<struct<severity:string,minimum_persistence_hours:int,minimum_threshold_ratio:double>>,
   persistence_hours int, severity string, signal_name string, signal_category string, condition_profile string"""
 KEY = ("ruleset_version", "rule_id")
@@ -64,6 +64,8 @@ def semantic_violations(rules: DataFrame) -> DataFrame:
         "months_out_of_range": F.exists("months", lambda m: (m < 1) | (m > 12)),
         "repeated_predicates": F.size(F.array_distinct(p)) < F.size(p),
         "absolute_without_threshold": F.exists(p, lambda x: (x["comparison"] == "absolute") & x["threshold"].isNull()),
+        "rolling_without_hours": F.exists(p, lambda x: (x["function"] == "rolling_average") & x["window_hours"].isNull()),
+        "hours_without_rolling": F.exists(p, lambda x: (x["function"] != "rolling_average") & x["window_hours"].isNotNull()),
         "percentile_with_threshold": F.exists(p, lambda x: (x["comparison"] == "baseline_percentile") & (x["threshold"].isNotNull() | x["baseline_percentile"].isNull())),
         "severity_falls": falls,
     }
@@ -78,68 +80,3 @@ def reference_violations(rules: DataFrame, cities: DataFrame, profiles: DataFram
     unknown_profile = rules.join(profiles.select("condition_profile"), "condition_profile", "left_anti").select("rule_id", F.lit("unknown_profile").alias("violation"), F.col("condition_profile").alias("value"))
     repeated = rules.groupBy("rule_id").agg(F.count("*").alias("n")).filter("n > 1").select("rule_id", F.lit("repeated_rule").alias("violation"), F.col("n").cast("string").alias("value"))
     return unknown_city.unionByName(unknown_profile).unionByName(repeated)
-
-
-def predicate_text(p: Column) -> Column:
-    """A predicate as text; equal predicates have equal texts."""
-    return F.concat_ws(" ", p["metric"], p["operator"], p["comparison"], F.coalesce(p["threshold"].cast("string"), F.lit("-")), F.coalesce(p["baseline_percentile"], F.lit("-")))
-
-
-def impossible_ranges(rules: DataFrame) -> DataFrame:
-    """(rule_id, metric, lower, upper) where absolute bounds of a rule leave no value; the tightest bounds count."""
-    bounds = predicates(rules).filter("comparison = 'absolute'").groupBy("rule_id", "metric").agg(
-        F.max(F.when(F.col("operator") == ">=", F.col("threshold"))).alias("lower"), F.min(F.when(F.col("operator") == "<=", F.col("threshold"))).alias("upper"))
-    return bounds.filter("lower > upper")
-
-
-def described(rules: DataFrame) -> DataFrame:
-    """Rules with sorted dimension arrays and predicate texts."""
-    return rules.select("rule_id", F.array_sort(F.array_distinct("cities")).alias("cities"), F.array_sort(F.array_distinct("months")).alias("months"), "condition_profile",
-                        F.array_sort(F.array_distinct(F.transform("predicates", predicate_text))).alias("texts"),
-                        F.array_sort(F.array_distinct(F.transform("predicates", lambda p: F.concat_ws(" ", p["metric"], p["operator"])))).alias("shapes"))
-
-
-def rule_conflicts(rules: DataFrame) -> DataFrame:
-    """(first_rule, second_rule, conflict) of pairs of rules whose cities, months and profile overlap.
-
-    duplicate_scope: equal predicates; else nested: one's predicates are some of the
-    other's; else threshold_overlap: equal dimensions, and the same metrics and
-    operators with other thresholds. Pairs are found by equality on the profile and
-    on a predicate or, for the last kind, on all dimensions and shapes, so only
-    rules that may conflict meet.
-    """
-    d = described(rules)
-    a, b = (d.select(*(F.col(c).alias(f"{s}_{c}") for c in d.columns)) for s in ("a", "b"))
-    overlap = F.arrays_overlap("a_cities", "b_cities") & F.arrays_overlap("a_months", "b_months")
-    shared = a.withColumn("text", F.explode("a_texts")).join(b.withColumn("text", F.explode("b_texts")), "text")
-    shared = shared.filter((F.col("a_rule_id") < F.col("b_rule_id")) & (F.col("a_condition_profile") == F.col("b_condition_profile")) & overlap)
-    inside = (F.size(F.array_except("a_texts", "b_texts")) == 0) | (F.size(F.array_except("b_texts", "a_texts")) == 0)
-    scoped = shared.withColumn("conflict", F.when(F.col("a_texts") == F.col("b_texts"), "duplicate_scope").when(inside, "nested"))
-    scoped = scoped.filter("conflict IS NOT NULL").select("a_rule_id", "b_rule_id", "conflict").distinct()
-    same = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("condition_profile", "cities", "months", "shapes")]
-    other = a.join(b, same[0] & same[1] & same[2] & same[3] & (F.col("a_rule_id") < F.col("b_rule_id")) & (F.col("a_texts") != F.col("b_texts")))
-    other = other.select("a_rule_id", "b_rule_id").join(scoped, ["a_rule_id", "b_rule_id"], "left_anti").withColumn("conflict", F.lit("threshold_overlap"))
-    return scoped.unionByName(other).toDF("first_rule", "second_rule", "conflict")
-
-
-def change_impact(old: DataFrame, new: DataFrame, members_by_city: DataFrame) -> DataFrame:
-    """One row of counts between two catalogs: rules, scopes and bands added, removed and changed; cities of the rules
-    that differ, before or after, and their members."""
-    def content(r: DataFrame, name: str) -> DataFrame:
-        return r.select("rule_id", F.to_json(F.struct(*(c for c in r.columns if c not in ("ruleset_version", "rule_id")))).alias(name))
-
-    both = content(old, "o").join(content(new, "n"), "rule_id", "full_outer")
-    rules = both.agg(
-        F.count_if(F.col("o").isNull()).alias("rules_added"), F.count_if(F.col("n").isNull()).alias("rules_removed"), F.count_if(F.col("o") != F.col("n")).alias("rules_changed"))
-    scopes = [definitions(r).select("rule_id", "city_id", "month").distinct() for r in (old, new)]
-    bands = [severity_bands(r).select("rule_id", "severity", "minimum_persistence_hours", "minimum_threshold_ratio").distinct() for r in (old, new)]
-    counted = [rules]
-    for name, (o, n) in (("scopes", scopes), ("bands", bands)):
-        counted += [n.exceptAll(o).agg(F.count("*").alias(f"{name}_added")), o.exceptAll(n).agg(F.count("*").alias(f"{name}_removed"))]
-    touched = both.filter("NOT (o <=> n)").select("rule_id")
-    cities = old.select("rule_id", "cities").union(new.select("rule_id", "cities")).join(touched, "rule_id", "left_semi").select(F.explode("cities").alias("city_id")).distinct()
-    counted.append(members_by_city.join(cities, "city_id", "left_semi").agg(F.count("*").alias("affected_cities"), F.coalesce(F.sum("members"), F.lit(0)).alias("estimated_members")))
-    out = counted[0]
-    for one in counted[1:]:  # rows of one
-        out = out.crossJoin(one)
-    return out

@@ -21,7 +21,7 @@ PROFILES = (("P1", {"1-URGENT": "high", "2-HIGH": "medium"}), ("P2", {"3-MEDIUM"
 
 def flagship_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship's rules, for every region and month."""
-    rows = [(VERSION, i, list(range(1, 13)), [list(x) for x in p], [list(x) for x in b] if b else None, h, s, n, "environmental_health_risk", f) for i, n, h, s, f, p, b in FLAGSHIP]
+    rows = [(VERSION, i, list(range(1, 13)), [[*x, "instantaneous", None] for x in p], [list(x) for x in b] if b else None, h, s, n, "environmental_health_risk", f) for i, n, h, s, f, p, b in FLAGSHIP]
     names = [f.strip().split(" ")[0] for f in ("ruleset_version", "rule_id", "months", "predicates", "bands", "persistence_hours", "severity", "signal_name", "signal_category", "condition_profile")]
     schema = SCHEMA.replace("cities array<string>, ", "")
     rules = spark.createDataFrame([tuple(r) for r in rows], schema).select(*names)
@@ -45,7 +45,9 @@ def part_rules(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
              'metric', concat('m', cast((p_size + i * ((p_partkey + 2) % 3)) % 4 as string)), 'operator', if((p_partkey + i) % 3 = 0, '<=', '>='),
              'comparison', if(p_partkey % 4 = 1, 'baseline_percentile', 'absolute'),
              'threshold', if(p_partkey % 4 = 1 and p_partkey % 28 <> 1, cast(null as double), cast((cast(p_retailprice as long) + 3 * i) % 5 * 10 as double)),
-             'baseline_percentile', if(p_partkey % 4 = 1, 'p90', cast(null as string)))) as predicates""",
+             'baseline_percentile', if(p_partkey % 4 = 1, 'p90', cast(null as string)),
+             'function', case p_partkey % 3 when 1 then 'rolling_average' when 2 then 'daily_max' else 'instantaneous' end,
+             'window_hours', case when p_partkey % 31 = 0 then 12 when p_partkey % 3 = 1 and p_partkey % 37 <> 0 then 24 end)) as predicates""",
         f"""if(p_partkey % 3 = 0, cast(null as array<struct<severity:string,minimum_persistence_hours:int,minimum_threshold_ratio:double>>), array(
              named_struct('severity', if(p_partkey % 5 = 0, 'high', 'low'), 'minimum_persistence_hours', 2, 'minimum_threshold_ratio', cast(1.0 as double)),
              named_struct('severity', 'medium', 'minimum_persistence_hours', if({changed}, 6, 4), 'minimum_threshold_ratio', cast(1.5 as double)))) as bands""",

@@ -184,9 +184,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d5_merged_catalog": lambda s, d: rules.merged_catalog(catalog.part_rules(s, d).select("rule_id", "severity"), catalog.part_rules(s, d, 2).select("rule_id", F.when(F.col("persistence_hours") == 3, "retired").otherwise("approved").alias("status"))),
     "d6_semantic_violations": lambda s, d: rules.semantic_violations(catalog.part_rules(s, d)),
     "d7_reference_violations": lambda s, d: rules.reference_violations(catalog.part_rules(s, d), catalog.part_cities(s, d), catalog.part_profiles(s, d)),
-    "d8_impossible_ranges": lambda s, d: rules.impossible_ranges(catalog.part_rules(s, d)),
-    "d9_rule_conflicts": lambda s, d: rules.rule_conflicts(catalog.part_rules(s, d)),
-    "d12_change_impact": lambda s, d: rules.change_impact(catalog.part_rules(s, d), catalog.part_rules(s, d, 2), table(s, d, "customer").groupBy(F.concat(F.lit("city"), (F.col("c_nationkey") % 7).cast("string")).alias("city_id")).agg(F.count("*").alias("members"))),
 }
 ITEMS = "items AS (SELECT l_orderkey, l_linenumber, l_returnflag AS source, l_linestatus AS city_id, CASE WHEN l_orderkey % 97 <> 0 THEN l_quantity END AS l_quantity, l_discount, l_tax FROM lineitem)"
 ISSUE_SQL = f"""WITH {ITEMS}, issues AS (
@@ -201,7 +198,7 @@ PARTS_SQL = """WITH parts AS (SELECT *, p_partkey % 4 = 1 AS local FROM part WHE
     list_transform(range(1, 3 + p_partkey % 3), lambda i: ((p_partkey + i * 4) % 13)::INT) AS months,
     list_transform(range(1, 2 + p_partkey % 2), lambda i: {'i': i, 'metric': 'm' || (p_size + i * ((p_partkey + 2) % 3)) % 4, 'operator': CASE WHEN (p_partkey + i) % 3 = 0 THEN '<=' ELSE '>=' END,
       'comparison': CASE WHEN local THEN 'baseline_percentile' ELSE 'absolute' END, 'threshold': CASE WHEN local AND p_partkey % 28 <> 1 THEN NULL ELSE ((floor(p_retailprice)::BIGINT + 3 * i) % 5 * 10)::DOUBLE END,
-      'baseline_percentile': CASE WHEN local THEN 'p90' END}) AS predicates, (1 + p_size % 6)::INT AS persistence_hours, (['low', 'medium', 'high', 'critical'])[p_partkey % 4 + 1] AS severity,
+      'baseline_percentile': CASE WHEN local THEN 'p90' END, 'function': CASE p_partkey % 3 WHEN 1 THEN 'rolling_average' WHEN 2 THEN 'daily_max' ELSE 'instantaneous' END, 'window_hours': CASE WHEN p_partkey % 31 = 0 THEN 12 WHEN p_partkey % 3 = 1 AND p_partkey % 37 <> 0 THEN 24 END}) AS predicates, (1 + p_size % 6)::INT AS persistence_hours, (['low', 'medium', 'high', 'critical'])[p_partkey % 4 + 1] AS severity,
     p_type AS signal_name, p_brand AS signal_category, 'f' || p_partkey % 9 AS condition_profile, p_partkey FROM parts)
 """
 RANKED = "CASE {0} WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 END"
@@ -243,20 +240,6 @@ INTEGRITY = f""", sound AS (WITH q AS (FROM queue), a AS (FROM alerts), t AS (FR
 MARTS = ("queue", "triggers", "alerts", "workload", "cities")
 LIMITS = {c: 1_000_000 if c == "invalid_windows" else 0 for c in NINE}
 LONG = " UNION ALL ".join(f"SELECT '{c}' AS \"check\", {c} AS actual, {m} AS maximum, {PASS.format(f'{c} <= {m}')} AS status FROM breached" for c, m in LIMITS.items())
-#: Scopes and bands of both versions of the parts' catalog.
-D12_SQL = f"""WITH p AS (SELECT *, p_partkey % 50 <> 1 AS old, p_partkey % 50 <> 2 AS new, p_partkey % 10 = 0 AS changed FROM part),
-  v AS (SELECT p.*, version, old AND new AND changed OR old <> new AS touched FROM p, (VALUES (1), (2)) t(version) WHERE CASE version WHEN 1 THEN old ELSE new END),
-  c AS (SELECT p_partkey, version, touched, unnest(list_transform(range(1, 2 + p_partkey % 3), lambda i: (p_partkey * i) % 7) || CASE WHEN version = 2 AND changed THEN [6] ELSE [] END) AS city FROM v),
-  s AS (SELECT DISTINCT p_partkey, version, city, month FROM c JOIN (SELECT p_partkey, unnest(list_transform(range(1, 3 + p_partkey % 3), lambda i: (p_partkey + i * 4) % 13)) AS month FROM part) USING (p_partkey)),
-  b AS (SELECT p_partkey, version, (['low', 'medium', 'high', 'critical'])[p_partkey % 4 + 1] AS severity, 1 + p_size % 6 AS hours FROM v WHERE p_partkey % 3 = 0
-    UNION SELECT p_partkey, version, CASE WHEN p_partkey % 5 = 0 THEN 'high' ELSE 'low' END, 2 FROM v WHERE p_partkey % 3 <> 0
-    UNION SELECT p_partkey, version, 'medium', CASE WHEN version = 2 AND changed THEN 6 ELSE 4 END FROM v WHERE p_partkey % 3 <> 0),
-  sn AS (SELECT min(version) AS v FROM s GROUP BY p_partkey, city, month HAVING count(*) = 1), bn AS (SELECT min(version) AS v FROM b GROUP BY p_partkey, severity, hours HAVING count(*) = 1),
-  m AS (SELECT c_nationkey % 7 AS city, count(*) AS n FROM customer GROUP BY 1)
-  SELECT (SELECT count(*) FROM p WHERE NOT old) AS rules_added, (SELECT count(*) FROM p WHERE NOT new) AS rules_removed, (SELECT count(*) FROM p WHERE old AND new AND changed) AS rules_changed,
-    (SELECT count(*) FILTER (WHERE v = 2) FROM sn) AS scopes_added, (SELECT count(*) FILTER (WHERE v = 1) FROM sn) AS scopes_removed, (SELECT count(*) FILTER (WHERE v = 2) FROM bn) AS bands_added, (SELECT count(*) FILTER (WHERE v = 1) FROM bn) AS bands_removed,
-    count(*) AS affected_cities, coalesce(sum(n), 0)::BIGINT AS estimated_members FROM m WHERE city IN (SELECT city FROM c WHERE touched)"""
-
 SQL: dict[str, str] = {
     "b1_range_issues": ISSUE_SQL + "SELECT l_orderkey, l_linenumber, field_name, error_type, severity FROM issues",
     "b1_valid_rows": ISSUE_SQL + "SELECT source, city_id, count(*) AS valid_rows FROM items WHERE l_quantity BETWEEN 2 AND 49 AND l_discount BETWEEN 0.01::DOUBLE AND 0.09::DOUBLE AND l_tax BETWEEN 0 AND 0.07::DOUBLE GROUP BY ALL",
@@ -287,7 +270,7 @@ SQL: dict[str, str] = {
     "f13_publication_cities": sql(READY + "SELECT city_id FROM ready WHERE complete", "weather", "air"),
     "f14_gate": sql(INTEGRITY + " UNION ALL ".join(f"SELECT {' + '.join(NINE)} = 0 AS may_publish, '{n}' AS marts FROM {n}" for n in ("sound", "breached")), *MARTS),
     "d1_definitions": PARTS_SQL + "SELECT ruleset_version, rule_id, unnest(cities) AS city_id, month, len(predicates)::INT AS predicate_count, persistence_hours, severity, signal_name, signal_category FROM (SELECT *, unnest(months) AS month FROM rules)",
-    "d2_predicates": PARTS_SQL + "SELECT ruleset_version, rule_id, p.i::INT AS predicate_index, p.metric, p.operator, p.comparison, p.threshold, p.baseline_percentile FROM (SELECT ruleset_version, rule_id, unnest(predicates) AS p FROM rules)",
+    "d2_predicates": PARTS_SQL + "SELECT ruleset_version, rule_id, p.i::INT AS predicate_index, p.metric, p.operator, p.comparison, p.threshold, p.baseline_percentile, p.function, p.window_hours FROM (SELECT ruleset_version, rule_id, unnest(predicates) AS p FROM rules)",
     "d3_condition_relevance": PARTS_SQL + ", f AS (SELECT 'f' || s_suppkey % 8 AS condition_profile, count(*) AS n FROM supplier GROUP BY 1) SELECT ruleset_version, rule_id, 'c1' AS condition, 'high' AS relevance FROM rules JOIN f USING (condition_profile) UNION ALL SELECT ruleset_version, rule_id, 'c' || n || 'x', 'low' FROM rules JOIN f USING (condition_profile)",
     "d4_severity_bands": PARTS_SQL + f"SELECT 'v1' AS ruleset_version, rule_id, s AS severity, h::INT AS minimum_persistence_hours, r AS minimum_threshold_ratio, {RANKED.format('s')} AS severity_rank FROM {BANDS_SQL}",
     "d5_catalog_mismatches": "SELECT 'P' || p_partkey AS rule_id, CASE p_partkey % 50 WHEN 1 THEN 'detection' ELSE 'governance' END AS missing_in FROM part WHERE p_partkey % 50 IN (1, 2)",
@@ -296,15 +279,9 @@ SQL: dict[str, str] = {
       SELECT rule_id, 'repeated_cities' AS violation FROM rules WHERE len(list_distinct(cities)) < len(cities) UNION ALL SELECT rule_id, 'repeated_months' FROM rules WHERE len(list_distinct(months)) < len(months)
       UNION ALL SELECT rule_id, 'months_out_of_range' FROM rules WHERE len(list_filter(months, lambda m: m < 1 OR m > 12)) > 0
       UNION ALL SELECT rule_id, 'repeated_predicates' FROM rules WHERE len(list_distinct(list_transform(predicates, lambda p: concat_ws(' ', p.metric, p.operator, p.threshold)))) < len(predicates)
+      UNION ALL SELECT rule_id, 'rolling_without_hours' FROM rules WHERE p_partkey % 3 = 1 AND p_partkey % 37 = 0 AND p_partkey % 31 <> 0 UNION ALL SELECT rule_id, 'hours_without_rolling' FROM rules WHERE p_partkey % 3 <> 1 AND p_partkey % 31 = 0
       UNION ALL SELECT rule_id, 'percentile_with_threshold' FROM rules WHERE len(list_filter(predicates, lambda p: p.comparison <> 'absolute' AND p.threshold IS NOT NULL)) > 0
       UNION ALL SELECT rule_id, 'severity_falls' FROM rules WHERE p_partkey % 3 <> 0 AND p_partkey % 5 = 0)""",
     "d7_reference_violations": PARTS_SQL + """, used AS (SELECT DISTINCT rule_id, unnest(cities) AS c FROM rules) SELECT rule_id, 'unknown_city' AS violation, c AS value FROM used WHERE c NOT IN (SELECT 'city' || n_nationkey % 6 FROM nation)
       UNION ALL SELECT rule_id, 'unknown_profile', condition_profile FROM rules WHERE condition_profile NOT IN (SELECT 'f' || s_suppkey % 8 FROM supplier)""",
-    "d8_impossible_ranges": PARTS_SQL + ", p AS (SELECT rule_id, unnest(predicates) AS p FROM rules) SELECT rule_id, p.metric AS metric, max(p.threshold) FILTER (WHERE p.operator = '>=') AS lower, min(p.threshold) FILTER (WHERE p.operator = '<=') AS upper FROM p WHERE p.comparison = 'absolute' GROUP BY 1, 2 HAVING max(p.threshold) FILTER (WHERE p.operator = '>=') > min(p.threshold) FILTER (WHERE p.operator = '<=')",
-    "d9_rule_conflicts": PARTS_SQL + """, d AS (SELECT rule_id, condition_profile AS f, list_sort(list_distinct(cities)) AS c, list_sort(list_distinct(months)) AS m, list_sort(list_distinct(list_transform(predicates, lambda p: concat_ws(' ', p.metric, p.operator, p.comparison, coalesce(p.threshold::VARCHAR, '-'), coalesce(p.baseline_percentile, '-'))))) AS t,
-        list_sort(list_distinct(list_transform(predicates, lambda p: p.metric || ' ' || p.operator))) AS s FROM rules),
-      pairs AS (SELECT a.rule_id AS first_rule, b.rule_id AS second_rule, CASE WHEN NOT (list_has_any(a.c, b.c) AND list_has_any(a.m, b.m)) THEN NULL WHEN a.t = b.t THEN 'duplicate_scope' WHEN list_has_all(a.t, b.t) OR list_has_all(b.t, a.t) THEN 'nested'
-        WHEN a.c = b.c AND a.m = b.m AND a.s = b.s THEN 'threshold_overlap' END AS conflict FROM d a JOIN d b ON a.f = b.f AND a.rule_id < b.rule_id)
-      SELECT * FROM pairs WHERE conflict IS NOT NULL""",
-    "d12_change_impact": D12_SQL,
 }
