@@ -171,6 +171,25 @@ def test_redaction_takes_whole_keys_and_tokens(spark):
     assert [found[i] for i in range(len(texts))] == ["a [SECRET] z", "a [SECRET] z", "a [SECRET]\nsome more words", "a [SECRET] as a name only", "a [SECRET] z", "a [SECRET] b [SECRET] z", "a [SECRET] z", "a [SECRET] z"]
 
 
+def test_very_long_texts_with_secrets_are_scanned_and_redacted(spark):
+    """10 MB of key lines with and without END, and of headers alone; DuckDB finds the same."""
+    import duckdb
+
+    begin, end, line = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\n" + "aB3+" * 16
+    texts = [f"a {begin}{line * 150_000}\n{end} z", f"a {begin}{line * 150_000}\nsome words - and more", f"{begin} a-b " * 3_000, f"a {begin}\nProc-Type: 4\nx-y{line * 9}\n{'-' * 4} {line}\n{end} z", "- " * 1_000_000 + "token = abcdef1"]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert [found[i] for i in range(5)] == ["a [SECRET] z", "a [SECRET]\nsome words - and more", "[SECRET] a-b " * 3_000, "a [SECRET] z", "- " * 1_000_000 + "[SECRET]"]
+    duck = duckdb.connect()
+    duck.register("documents", df.select("doc_id", "text").toArrow())
+    assert {i: spans for i, spans in duck.execute(f"SELECT doc_id, spans FROM ({secrets.OP2_SQL}) WHERE doc_id <> 2").fetchall()} == {
+        r.doc_id: r.spans for r in secrets.scan(df).filter("doc_id <> 2").select("doc_id", secrets.joined_spans(F.col("__spans")).alias("spans")).collect()}
+
+
+def test_nothing_is_scanned(empty):
+    assert secrets.scan(empty).count() == 0
+
+
 # 3
 
 

@@ -42,10 +42,11 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 #: A private key with its END line, or else its base64 block: long runs, and a last short line. Line ends may be written out.
+#: Repeated groups take all they can and give nothing back (*+), which Java's matcher does in a loop and not by recursion.
 HEADER = r"-----BEGIN (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"
-TO_END = r"[^-]*(?:-[^-]+){0,64}-----END (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"
-ARMOUR = r"(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\n]*)*"
-BLOCK = ARMOUR + r"(?:[\x20\t\r\n\\rn]*[A-Za-z0-9+/=]{16,})*(?:[\r\n]+[A-Za-z0-9+/]{1,15}={0,2}(?m:$))?"
+TO_END = r"(?:[^-]+|-{1,4}[^-])*+-----END (?:[A-Z]{2,10} ){0,2}PRIVATE KEY-----"
+ARMOUR = r"(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\n]*)*+"
+BLOCK = ARMOUR + r"(?:[\x20\t\r\n\\rn]*[A-Za-z0-9+/=]{16,})*+(?:[\r\n]+[A-Za-z0-9+/]{1,15}={0,2}(?m:$))?"
 ADDED = (
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -187,7 +188,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_sql(rules: tuple[Rule, ...] = RULES) -> str:
     """The same spans in DuckDB SQL: one CTE has matches and gaps of each rule, the next the places."""
-    regex = [r.regex.replace("'", "''") for r in rules]
+    regex = [r.regex.replace("'", "''").replace("*+", "*") for r in rules]  # its matcher never recurses
     parts = ", ".join(f"regexp_extract_all(text, '{x}') AS m{o}, regexp_extract_all(text, '{x}', {r.group}) AS j{o}, string_split_regex(text, '{x}') AS p{o}" for o, (r, x) in enumerate(zip(rules, regex, strict=True)))
     placed = " || ".join(
         f"""list_filter(list_transform(range(1, len(m{o}) + 1), lambda i: {{
