@@ -25,8 +25,8 @@ a smaller id:
     hold.
 
 Leaving out covered windows loses nothing: in the smallest document that has a
-window no symbol of a smaller one can cover it. In the first round 32 bits stand
-for a window within its bucket, and 96 in the second; symbols have 128. Questions
+window no symbol of a smaller one can cover it. In the first round 24 bits stand
+for a window within its bucket (one in 64 is opened in vain), and 96 in the second; symbols have 128. Questions
 go from chunks to buckets of the name and back, a name once for each chunk, so a
 passage that all documents share is one entry for each chunk and no hot key. There
 are more buckets for more words, each of about BUCKET windows; a row holds all that
@@ -183,10 +183,11 @@ def chunked(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, k = TaskContext.get().partitionId() << 32, 0
         values, blank, powers = byte_values(lower=False), separators(), Powers()
+        codec = pa.Codec("zstd", compression_level=5)  # texts are stored once and shuffled twice
         for batch in batches:
             ids = batch["doc_id"].cast(pa.int64())
             for part in slices(batch["text"], most=CHUNK):
-                rows = {"chunk": [task + k], "n_words": [len(words(part, values, blank, powers).start)], "ids": [ids[part.first : part.last]], "lengths": [(part.ends - part.starts).tolist()], "bytes": [len(part.data)], "data": [pa.compress(part.data.tobytes(), codec="zstd", asbytes=True)]}
+                rows = {"chunk": [task + k], "n_words": [len(words(part, values, blank, powers).start)], "ids": [ids[part.first : part.last]], "lengths": [(part.ends - part.starts).tolist()], "bytes": [len(part.data)], "data": [codec.compress(part.data.tobytes(), asbytes=True)]}
                 k += 1
                 yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("chunk", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("bytes", pa.int64()), ("data", pa.binary())]))
 
@@ -234,10 +235,25 @@ def opened_here(names: np.ndarray, order: np.ndarray) -> np.ndarray:
     return (high > low)[which]
 
 
+def short(names: np.ndarray) -> np.ndarray:
+    """24 bits of each name, apart from those that choose the bucket."""
+    return (names >> U64(40)).astype(np.uint32)
+
+
 def flat(value: np.ndarray) -> bytes:
     return value.tobytes()
 
 
+def in_three_bytes(values: np.ndarray) -> bytes:
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def from_three_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), dtype=np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
+
+
 def numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """All entries of a column of binaries, and how many are of each row."""
     rows = column.to_pylist()
@@ -246,7 +262,7 @@ def numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray
 
 
 def first_questions(chunks: DataFrame, width: int, buckets: int) -> DataFrame:
-    """(bucket, chunk, hashes, names, prints, docs): windows, 32 bits each, and high symbols."""
+    """(bucket, chunk, hashes, names, prints, docs): windows, 24 bits each, and high symbols."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -256,8 +272,8 @@ def first_questions(chunks: DataFrame, width: int, buckets: int) -> DataFrame:
                 c.compress(max(HIGH))
                 rows = {}
                 names = np.unique(c.names())
-                for bucket, (hashes,) in shares((names % U64(buckets)).astype(np.int64), (names >> U64(32)).astype(np.uint32)):
-                    rows[bucket] = [flat(np.unique(hashes)), b"", b"", b""]
+                for bucket, (hashes,) in shares((names % U64(buckets)).astype(np.int64), short(names)):
+                    rows[bucket] = [in_three_bytes(np.unique(hashes)), b"", b"", b""]
                 name, mark, start, _ = c.passages()
                 first, _, low = distinct(name, mark, c.order[start])
                 name, mark = name[first], mark[first]
@@ -272,7 +288,8 @@ def first_answers(questions: DataFrame) -> DataFrame:
     """(chunk, bucket, hashes, names, docs): windows that other chunks have, and symbols that smaller documents of others have."""
 
     def answer(part: pa.Table) -> pa.Table:
-        hashes, sizes = numbers(part["hashes"], np.uint32)
+        rows = part["hashes"].to_pylist()
+        hashes, sizes = from_three_bytes(b"".join(rows)), [len(x) // 3 for x in rows]
         kept = np.sort(hashes)
         again = np.unique(kept[1:][kept[1:] == kept[:-1]])
         there = np.isin(hashes, again, assume_unique=False) if len(again) else np.zeros(len(hashes), dtype=bool)
@@ -285,7 +302,7 @@ def first_answers(questions: DataFrame) -> DataFrame:
         for i, chunk in enumerate(part["chunk"].to_pylist()):
             h, s = there[a : cuts[i]], smaller[b : name_cuts[i]]
             if h.any() or s.any():
-                rows.append((chunk, flat(hashes[a : cuts[i]][h]), flat(names[b : name_cuts[i]][s]), flat(low[b : name_cuts[i]][s])))
+                rows.append((chunk, in_three_bytes(hashes[a : cuts[i]][h]), flat(names[b : name_cuts[i]][s]), flat(low[b : name_cuts[i]][s])))
             a, b = cuts[i], name_cuts[i]
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.table({"chunk": pa.array(columns[0], pa.int64()), "bucket": pa.array([part["bucket"][0].as_py()] * len(rows), pa.int32()), **{x: pa.array(columns[k], pa.binary()) for k, x in ((1, "hashes"), (2, "names"), (3, "docs"))}})
@@ -328,9 +345,9 @@ def second_questions(answered: DataFrame, width: int, buckets: int) -> DataFrame
                 np.add.at(covered, stop, -1)
                 names = c.names()
                 bucket = (names % U64(buckets)).astype(np.int64)
-                known = np.concatenate([np.zeros(0, dtype=np.int64), *((a["bucket"] << 32) + np.frombuffer(a["hashes"], np.uint32).astype(np.int64) for a in answers)])
+                known = np.concatenate([np.zeros(0, dtype=np.int64), *((a["bucket"] << 24) + from_three_bytes(a["hashes"]).astype(np.int64) for a in answers)])
                 opened = opened_here(names, c.order[c.windows])
-                opened |= np.isin((bucket << 32) + (names >> U64(32)).astype(np.int64), known)
+                opened |= np.isin((bucket << 24) + short(names).astype(np.int64), known)
                 opened &= np.cumsum(covered)[c.windows] == 0
                 windows, names, bucket = c.windows[opened], names[opened], bucket[opened]
                 prints = (c.prints(windows, windows + width) >> U64(32)).astype(np.uint32)
