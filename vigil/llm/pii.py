@@ -48,10 +48,10 @@ PATTERN = re.compile(
     re.VERBOSE | re.ASCII,
 )
 SIGN = re.compile(r"[0-9@]")
-#: An address from its sign on, and the characters before it; a local part has MOST_LOCAL at most. Searched from the sign
-#: back, so that no run is read anew from each of its characters.
+#: An address from its sign on, and the characters before it. Searched from the sign back to the sign before, so that no run
+#: is read anew from each of its characters. A long local part is permuted in pieces of PIECE characters.
 DOMAIN, LOCAL_START = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b", re.ASCII), re.compile(r"\b[A-Za-z0-9]", re.ASCII)
-LOCAL, MOST_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"), 64
+LOCAL, PIECE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"), 64
 #: The pattern of each kind alone, for what else may begin where a candidate failed.
 ALONE = {k: re.compile(part, re.VERBOSE | re.ASCII) for k, part in zip(KINDS[1:], re.split(r"\n    \|(?=\(\?P<)", PATTERN.pattern), strict=True)}
 #: Kinds whose runs may take in what follows the value, each with what may follow a shorter end.
@@ -182,9 +182,13 @@ def letters_and_digits(kind: str, value: str, f: Feistel) -> str:
 
 
 def email(value: str, f: Feistel) -> str | None:
-    """The local part; the domain stays."""
+    """The local part; the domain stays. Each piece after the first is permuted in a way that hangs on all before it."""
     local, _, domain = value.rpartition("@")
-    return f"{letters_and_digits('email', local, f)}@{domain}"
+    fresh, before = [letters_and_digits("email", local[:PIECE], f)], hashlib.sha256()
+    for at in range(PIECE, len(local), PIECE):
+        before.update(local[at - PIECE : at].encode())
+        fresh.append(letters_and_digits(f"email:{before.hexdigest()}", local[at : at + PIECE], f))
+    return f"{''.join(fresh)}@{domain}"
 
 
 PSEUDONYM: dict[str, Callable[[str, Feistel], str | None]] = {"email": email, "card": card, "iban": iban, "ssn": ssn, "phone": phone, "ip": ip, "date": date}
@@ -216,7 +220,7 @@ def next_email(text: str, at: int) -> tuple[int, int] | None:
     """(start, end) of the first address that begins at a place or after it."""
     for domain in DOMAIN.finditer(text, at):
         sign = low = domain.start()
-        while low > max(at, sign - MOST_LOCAL) and text[low - 1] in LOCAL:
+        while low > at and text[low - 1] in LOCAL:
             low -= 1
         start = LOCAL_START.search(text, low, sign)
         if start:
