@@ -85,8 +85,8 @@ def block_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
 def top_k(vectors: DataFrame, every: int, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) for the queries, whose vec_id is divisible by every."""
     whole = stored(usable(vectors).select("vec_id", F.transform("vector", lambda x: F.floor(x * 1024).cast("double")).alias("vector"), F.size("vector").alias("dim")))
-    total = whole.count()
-    blocks, query_blocks = max(1, ceil(total / BLOCK)), max(1, ceil(total / every / QUERY_BLOCK))
+    total, asked = whole.agg(F.count("*"), F.count_if(is_query(every))).first()
+    blocks, query_blocks = max(1, ceil(total / BLOCK)), max(1, ceil(asked / QUERY_BLOCK))
     # ids mixed with the vector: one id many times does not fill one block
     rows = whole.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks))).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     queries = whole.filter(is_query(every)).withColumn("query_block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(query_blocks)).cast("int"))
