@@ -272,6 +272,17 @@ def test_pseudonyms_equal_a_plain_search(docs):
     assert n
 
 
+def test_addresses_of_any_length_are_replaced(spark):
+    texts = ["a " + "x" * n + "@example.com b" for n in (63, 64, 65, 200, 5_000)] + ["a " + "ab.cd-" * 40 + "z@example.com", "a@b" * 20_000]
+    found = pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r, t in zip(sorted(found), texts[:-1]):
+        local, fresh = t[2 : t.index("@")], r.text[2 : r.text.index("@")]
+        assert len(local) == len(fresh) and re.sub("[a-z]", "a", local) == re.sub("[a-z]", "a", fresh)
+        assert all(local[i : i + 64] != fresh[i : i + 64] for i in range(0, len(local) - 8, 64)) and r.text[r.text.index("@") :] == t[t.index("@") :]
+    f = pii.Feistel("k")
+    assert len({pii.email(f"{'x' * n}{c}@e.com", f) for n in (3, 70) for c in "abcdef"}) == 12
+
+
 # 4, 5
 
 
@@ -366,6 +377,14 @@ def test_toxicity_equals_a_plain_cosine_vote(docs, labels):
             assert r.score == pytest.approx(1 / (1 + math.exp(-slope * toxicity.logit(share[r.doc_id]) - shift)), abs=1e-6)
 
 
+def test_labels_of_missing_documents_and_repeated_labels_change_nothing(spark, docs, labels):
+    strange = spark.range(3_000).select((F.col("id") + 10**9).alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    more = labels.select("doc_id", "quality", F.col("toxic").cast("int").alias("toxic"))
+    more = more.unionByName(more).unionByName(strange.select("doc_id", F.col("quality").cast(labels.schema["quality"].dataType).alias("quality"), "toxic"))
+    before, after = ({r.doc_id: (r.score, r.evidence) for r in toxicity.score(docs, x).collect()} for x in (labels, more))
+    assert before == after
+
+
 def test_quality_equals_a_plain_fit(docs, labels):
     import pyarrow as pa
 
@@ -416,6 +435,8 @@ def test_top_k_equals_brute_force_with_ties(spark):
         order = [i for i in np.lexsort((np.arange(400), -s)) if i != q][:10]
         assert found[q] == [(n + 1, i, int(s[i])) for n, i in enumerate(order)]
     assert topk.top_k(df.limit(0), 100, 10).count() == 0
+    everyone = topk.top_k(df.filter("vec_id < 400").withColumn("vec_id", F.col("vec_id") * 100), 100, 10)  # all ids are queries
+    assert everyone.count() == 4_000 and {(r.rank, r.vec_id // 100, r.score) for r in everyone.filter("query_id = 10000").collect()} == set(found[100])
     assert topk.top_k(df.filter("vec_id < 3"), 100, 10).count() == 2
 
 

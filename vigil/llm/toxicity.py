@@ -1,6 +1,6 @@
 """Toxicity scores by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled rows (SAMPLE a class, the smallest hashes of the id)
+A bounded sample of labelled documents (SAMPLE a class, the smallest hashes of the id)
 gives the examples, and all their terms, of either label, the vocabulary. Terms are
 words and beginnings of words, each once more for texts that hold it often: a term's
 frequency counts by the levels that it reaches. A term weighs its idf, over all
@@ -37,9 +37,8 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64, received, sent, sigmoid, signed, slices, stored, table, words
 
-#: Examples of each class; terms at most (those that fewest examples hold go first); the chi-square beyond which a term
-#: weighs more; votes; examples in a block.
-SAMPLE, VOCABULARY, LEAST, NEAREST, BLOCK = 1000, 2**20, 10.0, 15, 32
+#: Examples of each class; the chi-square beyond which a term weighs more; votes; examples in a block.
+SAMPLE, LEAST, NEAREST, BLOCK = 1000, 10.0, 15, 32
 #: Blocks that a query opens first, and twice as many each time after; examples in a task that scores them; terms in a chunk of counts.
 OPENED, SCORED, CHUNK = 8, 500, 2**16
 #: Bytes of the beginnings of longer words that are terms; occurrences that make one more term of a term.
@@ -85,9 +84,14 @@ def term_table(column: pa.Array, powers: Powers) -> Iterator[np.ndarray]:
             yield np.concatenate([term[n >= least] + U64(level) for level, least in enumerate(LEVELS)])
 
 
-def sample_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic) of at most SAMPLE labelled rows a class, not held out: the smallest hashes of the id."""
-    known = labels.filter((crc_bucket("doc_id", 3) != 1) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+def known_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the documents that there are and that are not held out: one row each, the largest label."""
+    known = labels.filter((crc_bucket("doc_id", 3) != 1) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    return known.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def sample_ids(known: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of at most SAMPLE rows a class: the smallest hashes of the id."""
     picked = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for c in (0, 1)]
     return picked[0].unionByName(picked[1])
 
@@ -124,7 +128,7 @@ class Vocabulary(NamedTuple):
 
 def vocabulary(examples: DataFrame) -> Vocabulary:
     held = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    table_ = held.orderBy(F.desc(F.col("a") + F.col("b")), "term").limit(VOCABULARY).toArrow()
+    table_ = held.toArrow()  # the terms of at most 2 * SAMPLE texts
     term = table_["term"].to_numpy().view(U64)
     order = np.argsort(term)
     return Vocabulary(term[order], table_["a"].to_numpy()[order].astype(float), table_["b"].to_numpy()[order].astype(float))
@@ -291,7 +295,8 @@ def calibration(shares: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tu
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, evidence) of every row; evidence: ids of the nearest examples, nearest first."""
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
-    picked = stored(sample_ids(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))))
+    known = stored(known_labels(docs, labels))
+    picked = stored(sample_ids(known))
     examples = stored(example_terms(docs, picked))
     words_ = vocabulary(examples)
     rows = examples.toArrow()  # at most 2 * SAMPLE texts' terms
@@ -304,7 +309,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     zeros = len(sampled) - ones
     weight = term_weights(words_, ones, zeros, document_frequencies(docs, words_), docs.count())
 
-    all_labels = {r["toxic"]: r["n"] for r in labels.filter((crc_bucket("doc_id", 3) != 1) & F.col("toxic").isin(0, 1)).groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    all_labels = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     labelled = sum(all_labels.values())
     prior = all_labels.get(1, 0) / labelled if labelled else 0.5
     votes = (1 - prior) * len(sampled) / max(1, zeros), prior * len(sampled) / max(1, ones)
@@ -331,8 +336,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return rows.mapInArrow(run, f"{kinds}, score double, evidence array<long>")
 
     # each example is scored by the others, and the curve from votes to labels is fitted to that
-    known = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(max(1, ceil(len(sampled) / SCORED)))
-    own = scored(known, None).select("toxic", "score").toArrow()
+    again = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(max(1, ceil(len(sampled) / SCORED)))
+    own = scored(again, None).select("toxic", "score").toArrow()
     toxic = own["toxic"].to_numpy().astype(float)
     curve = calibration(own["score"].to_numpy(), toxic, np.where(toxic > 0, votes[1], votes[0]))
     return scored(docs.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "text"), curve)
