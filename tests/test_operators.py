@@ -172,21 +172,12 @@ def test_retention_keeps_unparseable_and_named(spark):
     assert [r.snapshot_id for r in operations.removable(snaps, snaps, 1).collect()] == ["b"]
 
 
-def test_publication_is_all_or_nothing(spark, tmp_path):
-    root = str(tmp_path / "marts")
-    storage.publish({"a": spark.range(3).toDF("x"), "b": spark.range(2).toDF("x")}, root, "20300101T000000Z", "success")
-    storage.write(spark.range(9).toDF("x"), f"{root}/a/run_id=20300102T000000Z")  # a run that never was registered
-    assert storage.published(spark, root, "a").count() == 3
-
-
 def test_storage(spark, tmp_path):
     with pytest.raises(ValueError):
         storage.write(spark.range(0), str(tmp_path / "empty"), refuse_empty=True)
     df = spark.createDataFrame([("x", 1), ("y", 2)], "city_id string, v int")
     path = str(tmp_path / "parts")
     storage.write(df, path, ("city_id",))
-    storage.rewrite_changed(df.withColumn("v", F.lit(9)), df.filter("city_id = 'x'"), path, "city_id")
-    assert {(r.city_id, r.v) for r in storage.read(spark, path).collect()} == {("x", 9), ("y", 2)}
     assert storage.compact(spark, path, str(tmp_path / "few"), ("v",), 10) == 2
     storage.append_history({"f": df}, str(tmp_path / "h"), "r1")
     assert storage.read(spark, str(tmp_path / "h/f"), "city_id string, v int, run_id string").count() == 2
@@ -271,10 +262,3 @@ def test_integrity_counts_each_breach(spark):
     workload = spark.createDataFrame([(day, "x", 9, 1, 1, 3)], "decision_date date, city_id string, at_risk_members int, contactable_members int, high_priority_members int, total_members int")
     row = quality.integrity(exposure, queue, alerts, triggers, workload, spark.createDataFrame([("y",)], "city_id string")).first()
     assert tuple(row) == (1, 1, 1, 1, 2, 6, 1, 1, 1)
-
-
-def test_a_failed_run_is_published_when_tried_again(spark, tmp_path):
-    root = str(tmp_path / "marts")
-    storage.write(spark.range(9).toDF("x"), f"{root}/a/run_id=r1")  # what a run left that then failed
-    storage.publish({"a": spark.range(3).toDF("x")}, root, "r1", "success")
-    assert storage.published(spark, root, "a").count() == 3

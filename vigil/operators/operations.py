@@ -56,6 +56,33 @@ def upstream(edges: DataFrame) -> DataFrame:
     return edges.select("run_id", "upstream").distinct()
 
 
+EDGE = ("upstream_id", "artifact_id", "kind")
+
+
+def lineage(artifacts: DataFrame, runs: DataFrame) -> DataFrame:
+    """(upstream_id, artifact_id, kind) between artifacts.
+
+    artifacts has artifact_id, run_id, artifact_type, dataset_name, source, city_id
+    and reused_from_run_id; runs has run_id and member_snapshot_id. reused_from: the
+    same source and city of the run whose bytes an artifact shares; compacted_from:
+    the city snapshots of its run and source; derived_from: for a processed dataset
+    what run_upstream() has for its run.
+    """
+    named = artifacts.select(F.col("artifact_id").alias("upstream_id"), F.col("run_id").alias("reused_from_run_id"), "source", "city_id")
+    reused = artifacts.filter("reused_from_run_id IS NOT NULL").join(named, ["reused_from_run_id", "source", "city_id"]).withColumn("kind", F.lit("reused_from"))
+    cities = artifacts.filter("artifact_type = 'city_snapshot'").select(F.col("artifact_id").alias("upstream_id"), "run_id", "source")
+    compacted = artifacts.filter("artifact_type = 'compacted_source_snapshot'").join(cities, ["run_id", "source"]).withColumn("kind", F.lit("compacted_from"))
+    derived = artifacts.filter("artifact_type = 'processed_dataset'").join(run_upstream(artifacts, runs), "run_id").withColumn("kind", F.lit("derived_from"))
+    return reused.select(*EDGE).unionByName(compacted.select(*EDGE)).unionByName(derived.select(*EDGE)).distinct()
+
+
+def run_upstream(artifacts: DataFrame, runs: DataFrame) -> DataFrame:
+    """(run_id, upstream_id): the compacted sources of each run, and the reference snapshot that it names; a pair once."""
+    compacted = artifacts.filter("artifact_type = 'compacted_source_snapshot'").select("run_id", F.col("artifact_id").alias("upstream_id"))
+    reference = artifacts.filter("artifact_type = 'reference_snapshot'").select(F.col("dataset_name").alias("member_snapshot_id"), F.col("artifact_id").alias("upstream_id"))
+    return compacted.unionByName(runs.join(reference, "member_snapshot_id").select("run_id", "upstream_id")).distinct()
+
+
 def run_totals(state: DataFrame) -> DataFrame:
     """Sums per run; valid rows are those extracted less rejected ones that no failed source explains."""
     sums = state.groupBy("run_id").agg(F.sum("extracted").alias("extracted"), F.sum("inserted").alias("inserted"), F.sum("rejected").alias("rejected"), F.count_if(F.col("status") == "failed").alias("failed"))

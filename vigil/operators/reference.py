@@ -67,8 +67,10 @@ def integrity_violations(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def manifest_mismatches(snapshot: DataFrame, manifest: DataFrame, partition: str) -> DataFrame:
     """Partitions whose rows or content hash are not those recorded, or that only one side has."""
-    both = snapshot.select(partition, F.col("rows").alias("rows_now"), F.col("content_hash").alias("hash_now")).join(manifest, partition, "full_outer")
-    return both.filter(~(F.col("rows_now").eqNullSafe(F.col("rows")) & F.col("hash_now").eqNullSafe(F.col("content_hash")))).select(partition)
+    now = snapshot.select(F.col(partition).alias("__now"), F.col("rows").alias("rows_now"), F.col("content_hash").alias("hash_now"))
+    both = now.join(manifest, F.col("__now").eqNullSafe(F.col(partition)), "full_outer")
+    agree = F.col("rows_now").eqNullSafe(F.col("rows")) & F.col("hash_now").eqNullSafe(F.col("content_hash"))
+    return both.filter(~agree).select(F.coalesce("__now", partition).alias(partition))
 
 
 def version_id(df: DataFrame, length: int) -> DataFrame:

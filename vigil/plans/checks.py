@@ -114,7 +114,7 @@ def anomalies(s: SparkSession, d: str) -> DataFrame:
 
 def sound(s: SparkSession, d: str) -> DataFrame:
     """The integrity of the marts as they are."""
-    return quality.integrity(risk.exposed(s, d), risk.queue(s, d), risk.alerts(s, d), risk.triggered(s, d), risk.worked(s, d), risk.cities(s, d))
+    return quality.integrity(risk.exposed(s, d), risk.queue(s, d), risk.alerted(s, d), risk.triggered(s, d), risk.worked(s, d), risk.cities(s, d))
 
 
 def breached(s: SparkSession, d: str) -> DataFrame:
@@ -123,7 +123,7 @@ def breached(s: SparkSession, d: str) -> DataFrame:
     unasked = exposure.filter("NOT outreach_consent AND member_id % 17 = 1").select(*queue.columns)
     moved = queue.filter("member_id % 83 = 3").withColumn("window_start", F.col("window_start") + day)
     queued = queue.unionByName(unasked).unionByName(queue.filter("member_id % 89 = 2")).unionByName(moved)
-    alerts = marts.stakeholder_alerts(queue).filter("NOT (city_id = 'MIDDLE EAST' AND rule_id = 'R1')")
+    alerts = risk.alerted(s, d).filter("NOT (city_id = 'MIDDLE EAST' AND rule_id = 'R1')")
     alerts = alerts.withColumn("eligible_members", F.col("eligible_members") + F.when(F.col("decision_date") == F.lit("2024-01-09").cast("date"), 1).otherwise(0))
     triggers = risk.triggered(s, d).filter("NOT (city_id = 'AMERICA' AND rule_id = 'R4')")
     triggers = triggers.withColumn("window_end", F.when((F.col("city_id") == "ASIA") & (F.col("rule_id") == "R2"), F.col("window_start") - day).otherwise(F.col("window_end")))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vigil.operators import operations, quality, reference, snapshots
 from vigil.plans.sql import sql
-from vigil.sources import adapters, payloads, storage
+from vigil.sources import adapters, payloads, stages, storage, versions
 from vigil.sources.adapters import table
 
 KEY = ["run_id", "source", "city_id"]
@@ -127,12 +130,19 @@ def partitioned_files(s: SparkSession, d: str) -> DataFrame:
     return whole.unionByName(one.select(*ours.columns))
 
 
-def published_runs(s: SparkSession, d: str) -> DataFrame:
-    """Two runs, one of them tried twice, and one that failed, of which nothing is seen."""
+def publications(s: SparkSession, d: str) -> str:
+    """A folder with two published runs, one of them tried twice with other rows, one that failed, and one that died between its marts."""
     root, rows = storage.fresh_folder(s, "published"), lines(s, d).groupBy("l_returnflag").agg(F.count("*").alias("n"))
-    for run_id, status in (("r1", "success"), ("r2", "partial_success"), ("r2", "partial_success"), ("r3", "failed")):
-        storage.publish({"counts": rows.withColumn("n", F.col("n") + int(run_id[1]))}, root, run_id, status)
-    return storage.published(s, root, "counts")
+    for run_id, more, status in (("r1", 1, "success"), ("r2", 9, "partial_success"), ("r2", 2, "partial_success"), ("r3", 3, "failed"), ("r2", 7, "failed")):
+        ours = rows.withColumn("n", F.col("n") + more)
+        storage.publish({"counts": ours, "flags": ours.select("l_returnflag")}, root, run_id, status)
+    with contextlib.suppress(PySparkException):
+        storage.publish({"counts": rows, "flags": rows.withColumn("n", F.raise_error(F.lit("a mart that cannot be built")).cast("long"))}, root, "r1", "success")
+    return root
+
+
+def published_datasets(s: SparkSession, d: str) -> DataFrame:
+    return storage.published_runs(s, publications(s, d)).select("run_id", "dataset", "rows", "status", "number")
 
 
 def daily_facts(s: SparkSession, d: str) -> DataFrame:
@@ -151,13 +161,78 @@ def compacted_files(s: SparkSession, d: str) -> DataFrame:
     return storage.read(s, f"{path}-few", ours.schema)
 
 
+BANDS = "member_id long, age_band string, city_id string"
+
+
+def member_versions(s: SparkSession, d: str) -> str:
+    """A folder with snapshots of customers by region. In the second all of ASIA have moved to AFRICA and some of EUROPE are
+    older; the third is the second in another order; the fourth dies before its manifest is written."""
+    root, ours = storage.fresh_folder(s, "members"), adapters.members(s, d).select("member_id", "age_band", "city_id")
+    moved = ours.withColumns({"city_id": F.when(F.col("city_id") == "ASIA", "AFRICA").otherwise(F.col("city_id")), "age_band": F.when((F.col("city_id") == "EUROPE") & (F.col("member_id") % 2 == 0), "older").otherwise(F.col("age_band"))})
+    for snapshot_id, df in (("m1", ours), ("m2", moved), ("m3", moved.orderBy(F.desc("member_id")))):
+        versions.save(df, root, snapshot_id, "city_id")
+    storage.write(ours.withColumn("age_band", F.lit("unseen")), f"{root}/data/folder=sleft", ("city_id",))
+    return root
+
+
 def rewritten_partitions(s: SparkSession, d: str) -> DataFrame:
-    """Customers in folders of their regions; those of the changed region, where all moved on, are written anew."""
-    path, ours = storage.fresh_folder(s, "regions"), adapters.members(s, d).select("member_id", "age_band", "city_id")
-    storage.write(ours, path, ("city_id",))
-    moved = ours.withColumn("age_band", F.lit("moved"))
-    storage.rewrite_changed(moved, ours.filter("city_id = 'ASIA'").select("city_id"), path, "city_id")
-    return storage.read(s, path, ours.schema).select(*ours.columns)
+    """The newest snapshot of member_versions(), and the first."""
+    root, schema = member_versions(s, d), StructType.fromDDL(BANDS)
+    both = [versions.load(s, root, schema, "city_id", i).withColumn("snapshot_id", F.lit(i or "newest")) for i in (None, "m1")]
+    return both[0].unionByName(both[1])
+
+
+def partition_actions(s: SparkSession, d: str) -> DataFrame:
+    return versions.manifest(s, member_versions(s, d)).select("snapshot_id", F.col("partition").alias("city_id"), "action", "rows")
+
+
+def reused_snapshots(s: SparkSession, d: str) -> DataFrame:
+    """Orders by region, saved as they are, fetched anew with another time, and with a row more; then what the manifest
+    tells against what is there."""
+    root = storage.fresh_folder(s, "orders")
+    orders = table(s, d, "orders").join(adapters.customers(s, d).select("c_custkey", "city_id"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderstatus", "city_id", F.lit(1).alias("extracted_at"))
+    later = orders.withColumn("extracted_at", F.lit(2))
+    more = later.unionByName(later.filter("city_id = 'ASIA'").agg(F.max("o_orderkey").alias("o_orderkey")).selectExpr("o_orderkey", "'Z' as o_orderstatus", "'ASIA' as city_id", "2 as extracted_at"))
+    written = [(i, versions.save(df, root, i, "city_id", ("extracted_at",))) for i, df in (("o1", orders), ("o2", later), ("o3", more))]
+    saves = s.createDataFrame(written, "snapshot_id string, written boolean")  # three rows
+    counts = versions.manifest(s, root).groupBy("snapshot_id").agg(F.count_if(F.col("action") == "carried").alias("carried"), F.count_if(F.col("action") == "rebuilt").alias("rebuilt"), F.sum("rows").alias("rows"))
+    wrong = versions.mismatches(s, root, orders.schema, "city_id", ("extracted_at",)).agg(F.count("*").alias("mismatches"))
+    return saves.join(counts, "snapshot_id", "left").crossJoin(wrong)
+
+
+def artifacts(s: SparkSession, d: str) -> DataFrame:
+    """Orders as artifacts: a snapshot for each month, priority and region, compacted ones for each month and priority, processed
+    datasets for each month and status; a month's snapshot is the month's before where both have as many orders."""
+    orders = state_events(s, d)
+    cities = orders.groupBy("run_id", "source", "city_id").agg(F.count("*").alias("n"))
+    compacted = orders.groupBy("run_id", "source").agg(F.count("*").alias("n")).withColumn("city_id", F.lit("__all__"))
+    before = Window.partitionBy("source", "city_id").orderBy("run_id")
+    raw = cities.withColumn("artifact_type", F.lit("city_snapshot")).unionByName(compacted.withColumn("artifact_type", F.lit("compacted_source_snapshot")))
+    raw = raw.withColumn("reused_from_run_id", F.when(F.lag("n").over(before) == F.col("n"), F.lag("run_id").over(before)))
+    raw = raw.select(F.concat_ws(":", F.lit("raw"), "run_id", "source", "city_id").alias("artifact_id"), "run_id", "artifact_type", F.col("source").alias("dataset_name"), "source", "city_id", "reused_from_run_id")
+    none = F.lit(None).cast("string")
+    processed = orders.select("run_id", F.col("status").alias("dataset_name")).distinct().select(F.concat_ws(":", F.lit("processed"), "run_id", "dataset_name").alias("artifact_id"), "run_id", F.lit("processed_dataset").alias("artifact_type"), "dataset_name", none.alias("source"), none.alias("city_id"), none.alias("reused_from_run_id"))
+    reference_ = orders.select(F.substring("run_id", 1, 4).alias("dataset_name")).distinct().filter("dataset_name <> '1999'").select(F.concat(F.lit("reference:"), "dataset_name").alias("artifact_id"), none.alias("run_id"), F.lit("reference_snapshot").alias("artifact_type"), "dataset_name", none.alias("source"), none.alias("city_id"), none.alias("reused_from_run_id"))
+    return raw.unionByName(processed).unionByName(reference_)
+
+
+def member_runs(s: SparkSession, d: str) -> DataFrame:
+    """The runs, each with its year's member snapshot."""
+    return state_events(s, d).select("run_id", F.substring("run_id", 1, 4).alias("member_snapshot_id")).distinct()
+
+
+def observed_stages(s: SparkSession, d: str) -> DataFrame:
+    """Three stages over lines and orders, of which the last fails and is tried again, to fail again."""
+    root = storage.fresh_folder(s, "stages")
+    log = f"{root}/log"
+    clean = stages.run_stage(log, "r1", "clean", [lines(s, d)], lambda x: x.filter("l_quantity >= 10"), f"{root}/clean")
+    orders = table(s, d, "orders").select("o_orderkey", "o_orderpriority")
+    sums = stages.run_stage(log, "r1", "sums", [clean, orders], lambda x, y: x.join(y, x["l_orderkey"] == y["o_orderkey"]).groupBy("o_orderpriority", "l_returnflag").agg(F.sum("l_quantity").alias("quantity")), f"{root}/sums")
+    known = stages.stage_metrics(s, log).filter("stage = 'sums'").first()["output_rows"]
+    for _ in range(2):
+        with contextlib.suppress(PySparkException):
+            stages.run_stage(log, "r1", "report", [sums], lambda x: x.withColumn("quantity", F.raise_error(F.lit("no report today"))), f"{root}/report", known_rows=known)
+    return stages.stage_metrics(s, log).select("run_id", "stage", "number", "status", "input_rows", "output_rows", (F.col("milliseconds") > 0).alias("timed"), F.contains("error", F.lit("no report today")).alias("told"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -193,7 +268,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "h12_stage_metrics": lambda s, d: operations.stages(state_events(s, d)).select("run_id", "stage", "status", "events", F.datediff("ended_at", "started_at").alias("days")),
     "h14_replaced_state": lambda s, d: replaced_state(s, d).select(*KEY, "event_id", "status", "extracted"),
     "a1_partitioned_files": partitioned_files,
-    "a9_published_runs": published_runs,
+    "a9_published_runs": lambda s, d: storage.published(s, publications(s, d), "counts"),
+    "a9_published_datasets": published_datasets,
+    "a16_partition_actions": partition_actions,
+    "c7_reused_snapshots": reused_snapshots,
+    "h10_lineage_edges": lambda s, d: operations.lineage(artifacts(s, d), member_runs(s, d)),
+    "h10_run_upstream": lambda s, d: operations.run_upstream(artifacts(s, d), member_runs(s, d)),
+    "h12_observed_stages": observed_stages,
     "a10_daily_history": daily_facts,
     "a11_compacted_files": compacted_files,
     "a16_rewritten_partitions": rewritten_partitions,
@@ -212,6 +293,12 @@ STATE = """, inc AS (SELECT member_id, CASE WHEN member_id % 7 = 0 THEN 'ASIA' E
     CASE WHEN c.city_id IS NULL THEN 'inserted' WHEN i.city_id IS NULL THEN CASE WHEN c.active THEN 'deactivated' END WHEN i.city_id <> c.city_id OR i.age_band <> c.age_band OR NOT c.active THEN 'updated' ELSE 'unchanged' END AS action FROM inc i FULL JOIN cur c USING (member_id))
 """
 RUN_IDS = "(SELECT DISTINCT CASE WHEN o_orderkey % 10 = 0 THEN 'latest' ELSE strftime(o_orderdate, '%Y%m%dT%H%M%SZ') END AS run_id FROM orders)"
+ARTIFACTS = """, cnt AS (SELECT run_id, source, city_id, 'city_snapshot' AS kind, count(*) AS n FROM ev GROUP BY ALL UNION ALL SELECT run_id, source, '__all__', 'compacted_source_snapshot', count(*) FROM ev GROUP BY ALL),
+  raw AS (SELECT *, 'raw:' || run_id || ':' || source || ':' || city_id AS id, lag(run_id) OVER w AS earlier, lag(n) OVER w = n AS reused FROM cnt WINDOW w AS (PARTITION BY source, city_id ORDER BY run_id)),
+  up AS (SELECT run_id, id AS upstream_id FROM raw WHERE kind = 'compacted_source_snapshot' UNION SELECT run_id, 'reference:' || run_id[1:4] FROM ev WHERE run_id[1:4] <> '1999')
+"""
+GROWN = """, m2 AS (SELECT member_id, CASE WHEN city_id = 'EUROPE' AND member_id % 2 = 0 THEN 'older' ELSE age_band END AS age_band, CASE city_id WHEN 'ASIA' THEN 'AFRICA' ELSE city_id END AS city_id FROM members)
+"""
 SQL: dict[str, str] = {
     "a7_hourly_payload": "SELECT user_id, strftime(ts, '%Y-%m-%dT%H:%M') AS time, value, json_extract_string(props, '$.k')::DOUBLE AS k FROM events",
     "a8_daily_payload": sql("SELECT city_id, strftime(observed_date, '%Y%m%d') AS day, temperature_2m, minimum_temperature_2m, CASE WHEN day(observed_date) = 7 THEN -999.0::DOUBLE ELSE precipitation END AS precipitation FROM history", "history"),
@@ -248,9 +335,21 @@ SQL: dict[str, str] = {
     "h14_replaced_state": sql(EVENTS + "SELECT run_id, source, city_id, event_id, status, extracted FROM (SELECT *, row_number() OVER (PARTITION BY run_id, source, city_id ORDER BY event_id % 3 = 0 DESC, event_time DESC, event_id DESC) AS k FROM ev) WHERE k = 1", "customers"),
     "a1_partitioned_files": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, 'only R' FROM lineitem WHERE l_returnflag = 'R'",
     "a9_published_runs": "SELECT l_returnflag, n + k AS n, 'r' || k AS run_id FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1), (VALUES (1), (2)) t(k)",
+    "a9_published_datasets": "SELECT run_id, dataset, (SELECT count(DISTINCT l_returnflag) FROM lineitem) AS rows, status, number FROM (VALUES ('r1', 'success', 1), ('r2', 'partial_success', 2)) t(run_id, status, number), (VALUES ('counts'), ('flags')) u(dataset)",
+    "a16_partition_actions": sql(GROWN + """SELECT 'm1' AS snapshot_id, city_id, 'rebuilt' AS action, count(*) AS rows FROM members GROUP BY city_id UNION ALL SELECT 'm2', 'ASIA', 'removed', 0
+      UNION ALL SELECT 'm2', city_id, CASE WHEN city_id IN ('AFRICA', 'EUROPE') THEN 'rebuilt' ELSE 'carried' END, count(*) FROM m2 GROUP BY city_id""", "members"),
+    "c7_reused_snapshots": sql("""SELECT snapshot_id, snapshot_id <> 'o2' AS written, CASE snapshot_id WHEN 'o1' THEN 0 WHEN 'o3' THEN regions - 1 END AS carried, CASE snapshot_id WHEN 'o1' THEN regions WHEN 'o3' THEN 1 END AS rebuilt,
+      CASE snapshot_id WHEN 'o1' THEN n WHEN 'o3' THEN n + 1 END AS rows, 0 AS mismatches FROM (SELECT count(*) AS n, count(DISTINCT city_id) AS regions FROM orders JOIN customers ON o_custkey = c_custkey), (VALUES ('o1'), ('o2'), ('o3')) t(snapshot_id)""", "customers"),
+    "h10_lineage_edges": sql(EVENTS + ARTIFACTS + """SELECT 'raw:' || earlier || ':' || source || ':' || city_id AS upstream_id, id AS artifact_id, 'reused_from' AS kind FROM raw WHERE reused
+      UNION ALL SELECT c.id, a.id, 'compacted_from' FROM raw a JOIN raw c USING (run_id, source) WHERE a.city_id = '__all__' AND c.city_id <> '__all__'
+      UNION ALL SELECT upstream_id, 'processed:' || run_id || ':' || status, 'derived_from' FROM (SELECT DISTINCT run_id, status FROM ev) JOIN up USING (run_id)""", "customers"),
+    "h10_run_upstream": sql(EVENTS + ARTIFACTS + "SELECT run_id, upstream_id FROM up", "customers"),
+    "h12_observed_stages": """WITH k AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_quantity >= 10) AS c FROM lineitem), g AS (SELECT count(DISTINCT (o_orderpriority, l_returnflag)) AS g FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= 10)
+      SELECT 'r1' AS run_id, 'clean' AS stage, 1 AS number, 'success' AS status, n AS input_rows, c AS output_rows, true AS timed, NULL AS told FROM k
+      UNION ALL SELECT 'r1', 'sums', 1, 'success', c + (SELECT count(*) FROM orders), g, true, NULL FROM k, g UNION ALL SELECT 'r1', 'report', 2, 'failed', g, 0, true, true FROM g""",
     "a10_daily_history": "SELECT day, n, run_id FROM (SELECT o_orderdate::DATE::VARCHAR AS day, count(*) AS n FROM orders GROUP BY 1) JOIN (VALUES ('r1', 2), ('r2', 3)) t(run_id, k) ON n % k = 0",
     "a11_compacted_files": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
-    "a16_rewritten_partitions": sql("SELECT member_id, CASE city_id WHEN 'ASIA' THEN 'moved' ELSE age_band END AS age_band, city_id FROM members", "members"),
+    "a16_rewritten_partitions": sql(GROWN + "SELECT *, 'newest' AS snapshot_id FROM m2 UNION ALL SELECT member_id, age_band, city_id, 'm1' FROM members", "members"),
     "h13_latest_times": sql(EVENTS + "SELECT source, city_id, max(event_time)::VARCHAR AS latest FROM ev GROUP BY source, city_id", "customers"),
     "h15_run_life_cycle": sql(EVENTS + "SELECT run_id, status, started_at::VARCHAR AS started_at, ended_at::VARCHAR AS ended_at, status = 'success' AS published FROM life", "customers"),
 }

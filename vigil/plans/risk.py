@@ -49,20 +49,21 @@ def summary(spark: SparkSession, d: str) -> DataFrame:
 def exposure(spark: SparkSession, d: str) -> DataFrame:
     """Exposure to every rule on every day that it holds."""
     relevance = rules.condition_relevance(catalog.flagship_rules(spark, d), catalog.profiles(spark))
-    return marts.member_exposure(adapters.members(spark, d), adapters.member_conditions(spark, d), daily(spark, d), relevance)
+    return marts.member_exposure(adapters.members(spark, d), adapters.member_conditions(spark, d), marts.conditions_daily(triggered(spark, d), ZONE), relevance)
 
 
-PUBLISHED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+PUBLISHED: dict[tuple[str, str, str], tuple[str, str, StructType]] = {}
 
 
 def published(spark: SparkSession, d: str, name: str, mart: Callable[[SparkSession, str], DataFrame], partitions: tuple[str, ...] = ("decision_date",)) -> DataFrame:
-    """A mart, written to the shared folder at its first use in an application; dates are folders, so that a query of one date reads no other."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in PUBLISHED:
+    """A mart, written to the shared folder at its first use in an application; dates are folders, so that a query of one date reads
+    no other. It is written anew when the given tables have changed, or its folder is gone."""
+    key, state = (spark.sparkContext.applicationId, d, name), storage.state(spark, d)
+    if key not in PUBLISHED or PUBLISHED[key][0] != state or not storage.there(spark, PUBLISHED[key][1]):
         df, path = mart(spark, d), storage.fresh_folder(spark, name)
         storage.write(df, path, partitions)
-        PUBLISHED[key] = path, df.schema
-    path, schema = PUBLISHED[key]
+        PUBLISHED[key] = state, path, df.schema
+    _, path, schema = PUBLISHED[key]
     return storage.read(spark, path, schema).select(*schema.names)
 
 
@@ -78,6 +79,10 @@ def worked(spark: SparkSession, d: str) -> DataFrame:
     return published(spark, d, "workload", workload)
 
 
+def alerted(spark: SparkSession, d: str) -> DataFrame:
+    return published(spark, d, "alerts", alerts)
+
+
 def workload(spark: SparkSession, d: str) -> DataFrame:
     return marts.care_workload(exposed(spark, d), adapters.members(spark, d), summary(spark, d), cities(spark, d))
 

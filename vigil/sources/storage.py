@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,23 +33,58 @@ def shared_folder(spark: SparkSession) -> str:
     return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/vigil"
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def state(spark: SparkSession, folder: str) -> str:
+    """What a folder of tables looks like: name, length and time of each file or folder in it. A table that is written again has other ones."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    return "\n".join(sorted(f"{x.getPath().getName()} {x.getLen()} {x.getModificationTime()}" for x in found))
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: attempts of a run are numbered from 1; folder: where the attempt's marts are.
+REGISTRY = "run_id string, number int, folder string, dataset string, rows long, status string"
+
+
+def registered(spark: SparkSession, root: str) -> DataFrame:
+    """All attempts to publish a run, a row for each mart; none before the first."""
+    path = f"{root}/published_runs"
+    return read(spark, path, REGISTRY) if there(spark, path) else spark.createDataFrame([], REGISTRY)
+
+
 def publish(marts: dict[str, DataFrame], root: str, run_id: str, status: str) -> None:
-    """Every mart to its partition of the run, then one row of the registry per mart. Readers join the registry,
-    so a run that failed on the way is never seen; tried again, it replaces what it left."""
+    """The marts of a run to a folder of this attempt, then the registry's rows, one for each mart, in one file: that file is the commit.
+
+    Nothing that readers may see is written over. Rows are counted as they are written.
+    """
+    spark, folder, rows = next(iter(marts.values())).sparkSession, f"a{uuid.uuid4().hex}", []
     for name, df in marts.items():
-        write(df, f"{root}/{name}/run_id={run_id}", mode="overwrite")
-    spark = next(iter(marts.values())).sparkSession
-    counts = [(run_id, name, read(spark, f"{root}/{name}/run_id={run_id}").count(), status) for name in marts]  # a row per mart
-    write(spark.createDataFrame(counts, "run_id string, dataset string, rows long, status string").coalesce(1), f"{root}/published_runs", mode="append")
+        seen = Observation()
+        write(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root}/{name}/folder={folder}")
+        rows.append((name, seen.get["rows"]))
+    number = registered(spark, root).filter(F.col("run_id") == run_id).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0] + 1
+    entries = [(run_id, number, folder, name, n, status) for name, n in rows]  # a row for each mart
+    write(spark.createDataFrame(entries, REGISTRY).coalesce(1), f"{root}/published_runs", mode="append")
+
+
+def published_runs(spark: SparkSession, root: str) -> DataFrame:
+    """What is published: of each run and mart the newest attempt that succeeded, at least in part."""
+    good = registered(spark, root).filter(F.col("status").isin("success", "partial_success"))
+    newest = Window.partitionBy("run_id").orderBy(F.desc("number"))
+    return good.withColumn("__n", F.dense_rank().over(newest)).filter("__n = 1").drop("__n")
 
 
 def published(spark: SparkSession, root: str, mart: str) -> DataFrame:
-    runs = read(spark, f"{root}/published_runs").filter(F.col("status").isin("success", "partial_success")).select("run_id").distinct()
-    return read(spark, f"{root}/{mart}").withColumn("run_id", F.col("run_id").cast("string")).join(runs, "run_id", "left_semi")
+    """Rows of a mart with the run_id of each; folders of other attempts are not read."""
+    runs = published_runs(spark, root).filter(F.col("dataset") == mart).select("run_id", "folder")
+    return read(spark, f"{root}/{mart}").join(runs, "folder").drop("folder")
 
 
 def append_history(facts: dict[str, DataFrame], root: str, run_id: str) -> None:
@@ -67,9 +102,3 @@ def compact(spark: SparkSession, source: str, target: str, keys: Sequence[str],
     if read(spark, target).count() != n:
         raise ValueError("rows changed on compaction")
     return n
-
-
-def rewrite_changed(df: DataFrame, changed: DataFrame, path: str, partition: str) -> None:
-    """Only the partitions that changed are written anew; the others' files stay as they are."""
-    ours = df.join(changed.select(partition).distinct(), partition, "left_semi")
-    ours.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
