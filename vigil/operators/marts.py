@@ -48,22 +48,48 @@ def baselines(values: DataFrame, when: str) -> DataFrame:
     return found.select("city_id", "month", "metric", F.round("average_value", 8).alias("average_value"), *parts, "minimum_value", "maximum_value", "sample_count", "historical_years", "first_date", "last_date")
 
 
-def conditions(weather: DataFrame, air: DataFrame, cities: DataFrame, as_of: str) -> DataFrame:
+#: Hours of a segment, whole days: series are worked on segment by segment, so that one city or rule is many tasks.
+SEGMENT_HOURS = 24 * 128
+
+
+def segment(at: Column, hours: int = SEGMENT_HOURS) -> Column:
+    """The number of the time's segment, counted from 1970."""
+    return F.floor(hours_since_1970(at) / hours)
+
+
+def hours_since_1970(at: Column) -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at) / 3600
+
+
+def with_halo(df: DataFrame, at: str, before: int, hours: int = SEGMENT_HOURS) -> DataFrame:
+    """df with __segment, and each row of the last ``before`` hours of a segment once more as __halo of the next."""
+    own = segment(F.col(at), hours)
+    late = hours_since_1970(F.col(at)) - own * hours >= hours - before
+    both = F.array(F.struct(own.alias("n"), F.lit(False).alias("halo")), F.when(late, F.struct((own + 1).alias("n"), F.lit(True).alias("halo"))))
+    return df.withColumn("__s", F.explode(F.array_compact(both))).withColumns({"__segment": F.col("__s.n"), "__halo": F.col("__s.halo")}).drop("__s")
+
+
+def conditions(weather: DataFrame, air: DataFrame, cities: DataFrame, as_of: str, segment_hours: int = SEGMENT_HOURS) -> DataFrame:
     """Hours from as_of on that both sources have, of published cities, with daily and rolling values.
 
-    Daily values cover what is left of the first day. Sums and means are rounded to six digits.
+    Daily values cover what is left of the first day. Sums and means are rounded to six digits. A city is
+    dealt by segments of whole days, each with the last 23 hours before it for the rolling mean, and both kinds of windows
+    stay in a segment: one shuffle.
     """
+    if segment_hours % 24:
+        raise ValueError("segments are whole days")
     joined = weather.join(air, ["city_id", "observed_at"]).join(cities.select("city_id"), "city_id", "left_semi")
-    joined = joined.filter(F.col("observed_at") >= F.lit(as_of).cast("timestamp_ntz"))
-    day = Window.partitionBy("city_id", F.to_date("observed_at"))
-    wide = joined.withColumns({
+    joined = with_halo(joined.filter(F.col("observed_at") >= F.lit(as_of).cast("timestamp_ntz")), "observed_at", 23, segment_hours)
+    rolling = F.expr("round(avg(pm2_5) OVER (PARTITION BY city_id, __segment ORDER BY observed_at RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW), 6)")
+    ours = joined.withColumn("pm2_5_rolling_24h", rolling).filter("NOT __halo")
+    day = Window.partitionBy("city_id", "__segment", F.to_date("observed_at"))
+    wide = ours.withColumns({
         "apparent_temperature_uplift": F.round(F.col("apparent_temperature") - F.col("temperature_2m"), 6),
         "daily_precipitation_sum": F.round(F.sum("precipitation").over(day), 6),
         "daily_min_temperature": F.min("temperature_2m").over(day),
         "daily_max_temperature": F.max("temperature_2m").over(day),
-        "pm2_5_rolling_24h": F.expr("round(avg(pm2_5) OVER (PARTITION BY city_id ORDER BY observed_at RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW), 6)"),
     })
-    return wide.withColumn("daily_temperature_range", F.round(F.col("daily_max_temperature") - F.col("daily_min_temperature"), 6))
+    return wide.withColumn("daily_temperature_range", F.round(F.col("daily_max_temperature") - F.col("daily_min_temperature"), 6)).drop("__segment", "__halo")
 
 
 def applicable_predicates(definitions: DataFrame, predicates: DataFrame, known: DataFrame) -> DataFrame:
@@ -96,12 +122,32 @@ def rule_evaluations(evaluated: DataFrame) -> DataFrame:
     return found.filter("n = predicate_count").withColumn("is_breach", F.col("n_met") == F.col("predicate_count")).drop("n", "n_met")
 
 
-def streaks(evaluations: DataFrame, keys: Sequence[str] = RULE) -> DataFrame:
-    """E3g: a new streak at every first row, non-breach, and row that does not follow its predecessor by one hour."""
-    by_time = Window.partitionBy(*keys).orderBy("observed_at")
-    gap = F.timestamp_diff("HOUR", F.date_trunc("hour", F.lag("observed_at").over(by_time)), F.date_trunc("hour", "observed_at"))
-    breaks = (~F.col("is_breach") | F.coalesce(gap != 1, F.lit(True))).cast("int")
-    return evaluations.withColumn("__new", breaks).withColumn("streak_group", F.sum("__new").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
+def follows(before: Column, at: Column) -> Column:
+    """Whether a time is in the hour after another; not if there is no other."""
+    return F.coalesce(F.timestamp_diff("HOUR", F.date_trunc("hour", before), F.date_trunc("hour", at)) == 1, F.lit(False))
+
+
+def streaks(evaluations: DataFrame, keys: Sequence[str] = RULE, segment_hours: int = SEGMENT_HOURS) -> DataFrame:
+    """E3g: a new streak at every first row, non-breach, and row that does not follow its predecessor by one hour; streak_group counts them.
+
+    Gaps and islands within segments first: each row's streak, counted from its segment's start. A row for each segment then
+    tells whether its first row goes on with what the segment before ended with, and how many streaks there were before: the
+    ends merge, and one hot rule and city is as many tasks as it has segments.
+    """
+    keys, here = list(keys), segment(F.col("observed_at"), segment_hours)
+    by_time = Window.partitionBy(*keys, "__segment").orderBy("observed_at")
+    before = F.lag("observed_at").over(by_time)
+    # whether a segment's first row begins a streak is left open
+    begins = (~(F.col("is_breach") & follows(before, F.col("observed_at"))) & before.isNotNull()).cast("int")
+    local = evaluations.withColumn("__segment", here).withColumn("__begins", begins)
+    local = local.withColumn("__local", F.sum("__begins").over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__begins")
+    ends = local.groupBy(*keys, "__segment").agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"), F.min_by("is_breach", "observed_at").alias("opens"), F.max("__local").alias("n"))
+    by_segment = Window.partitionBy(*keys).orderBy("__segment")  # a row for each segment
+    joins = F.col("opens") & follows(F.lag("last").over(by_segment), F.col("first"))
+    ends = ends.withColumn("own", (~joins).cast("int"))
+    earlier = F.coalesce(F.sum(F.col("n") + F.col("own")).over(by_segment.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = ends.select(*keys, "__segment", (earlier + F.col("own")).alias("__shift"))
+    return local.join(ends, [*keys, "__segment"]).withColumn("streak_group", F.col("__shift") + F.col("__local")).select(*evaluations.columns, "streak_group")
 
 
 def persisted_windows(grouped: DataFrame) -> DataFrame:
@@ -156,15 +202,28 @@ def priority(severity: Column, relevance: Column, age_band: Column) -> Column:
     return F.coalesce(rank_of(severity), F.lit(1)) + weight + F.when(age_band == "60+", 1).otherwise(0)
 
 
-def member_exposure(members: DataFrame, links: DataFrame, daily: DataFrame, relevance: DataFrame) -> DataFrame:
+#: Daily rows that are broadcast at most (some 300 bytes each); parts that a city and rule's members are dealt into beyond that.
+BROADCAST_DAYS, SALTS = 100_000, 32
+ON = ("city_id", "ruleset_version", "rule_id")
+
+
+def member_exposure(members: DataFrame, links: DataFrame, daily: DataFrame, relevance: DataFrame, most: int = BROADCAST_DAYS, salts: int = SALTS) -> DataFrame:
     """One row per date, member and trigger, with the member's conditions that the rule is relevant for.
 
-    Members are paired with rules first, so each meets the daily rows of its city
-    and its rules once, and not once per condition.
+    Members are paired with rules first, so each meets the daily rows of its city and its rules once, and not once per
+    condition. Cities and rules are few and members many: the daily rows of a city and rule, as one list, go to the members
+    where they are no more than ``most`` in all; beyond, they are copied ``salts`` times and a city's members dealt over the copies.
     """
     matched = links.join(relevance, "condition").groupBy("member_id", "ruleset_version", "rule_id").agg(
         F.array_sort(F.collect_set("condition")).alias("matched_conditions"), F.array_sort(F.collect_set("relevance")).alias("matched_relevance_levels"))
-    exposed = members.join(matched, "member_id").join(daily, ["city_id", "ruleset_version", "rule_id"])
+    people, days = members.join(matched, "member_id"), [c for c in daily.columns if c not in ON]
+    if daily.count() <= most:
+        lists = daily.groupBy(*ON).agg(F.collect_list(F.struct(*days)).alias("__days"))
+        exposed = people.join(F.broadcast(lists), list(ON)).withColumn("__day", F.explode("__days")).select(*ON, *(c for c in people.columns if c not in ON), *(F.col(f"__day.{c}").alias(c) for c in days))
+    else:
+        salted = people.withColumn("__salt", F.pmod(F.xxhash64("member_id"), F.lit(salts)))
+        copies = daily.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        exposed = salted.join(copies, [*ON, "__salt"]).drop("__salt")
     best = F.when(F.array_contains("matched_relevance_levels", "high"), "high").when(F.array_contains("matched_relevance_levels", "medium"), "medium").otherwise("low")
     return exposed.withColumns({
         "priority_score": priority(F.col("severity"), best, F.col("age_band")), "outreach_eligible": F.col("outreach_consent"),

@@ -82,39 +82,47 @@ def row_anomalies(current: DataFrame, history: DataFrame, least: int, warn: floa
     return joined.select("dataset", "metric", F.when(known, ratio).alias("ratio"), F.when(known, three_level(ratio, warn, fail)).otherwise("pass").alias("status"), F.when(known, "history").otherwise("insufficient").alias("baseline"))
 
 
-def count_of(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count("*").alias(name))
-
-
 ALERT_KEY = ("decision_date", "rule_id", "city_id", "window_start")
 MEMBER_KEY = (*ALERT_KEY, "member_id", "ruleset_version")
+CHECKS = ("consent_leakage", "duplicate_member_triggers", "invalid_windows", "queue_without_trigger", "alert_mismatches", "unapproved_city_rows", "queue_without_exposure", "workload_mismatches", "at_risk_above_total")
+
+
+def counted(df: DataFrame, **checks: Column) -> DataFrame:
+    """(check, n) of each check: one aggregation of df."""
+    sums = df.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(c) for c, n in checks.items()))
+    return sums.unpivot([], list(checks), "check", "n")
 
 
 def integrity(exposure: DataFrame, queue: DataFrame, alerts: DataFrame, triggers: DataFrame, workload: DataFrame, cities: DataFrame) -> DataFrame:
-    """one row of nine counts, all 0 for marts that agree with each other."""
-    again = queue.groupBy(*ALERT_KEY, "member_id").agg(F.max("priority_score").alias("s")).groupBy(*ALERT_KEY).agg(F.count("*").alias("n"), F.count_if(F.col("s") >= 4).alias("h"))
-    both = alerts.select(*ALERT_KEY, "eligible_members", "high_priority_members").join(again, list(ALERT_KEY), "full_outer")
-    odd_alerts = both.filter(~(F.col("eligible_members").eqNullSafe(F.col("n")) & F.col("high_priority_members").eqNullSafe(F.col("h"))))
-    ours = exposure.groupBy("decision_date", "city_id", "member_id").agg(F.max("outreach_eligible").alias("e"), F.max("priority_score").alias("s"))
+    """one row of nine counts, all 0 for marts that agree with each other.
+
+    Exposure and queue are dealt once, together, by date, city and member: what is asked of a member's triggers and what is
+    asked of a member are aggregations on top of that. Each other mart is aggregated once, with all of its checks.
+    """
+    tag = lambda df, queued: df.select(*MEMBER_KEY, "priority_score", "outreach_eligible" if not queued else F.lit(None).cast("boolean").alias("outreach_eligible"), "outreach_consent", F.lit(queued).alias("queued"))
+    both = tag(exposure, False).unionByName(tag(queue, True)).repartition("decision_date", "city_id", "member_id")
+    of_queue = F.col("queued")
+    per_trigger = both.groupBy(*MEMBER_KEY).agg(
+        F.count_if(of_queue).alias("q"), F.count_if(~of_queue).alias("e"), F.count_if(of_queue & ~F.col("outreach_consent")).alias("unasked"), F.max(F.when(of_queue, F.col("priority_score"))).alias("q_score"),
+        F.max(F.when(~of_queue, F.col("priority_score"))).alias("e_score"), F.max("outreach_eligible").alias("eligible"))
+    found = [counted(per_trigger, consent_leakage=F.col("unasked"), duplicate_member_triggers=(F.col("q") > 1).cast("int"), queue_without_exposure=F.when(F.col("e") == 0, F.col("q")).otherwise(0))]
+    of_triggers = per_trigger.filter("q > 0").groupBy("ruleset_version", "rule_id", "city_id", "window_start").agg(F.sum("q").alias("q"))
+    found.append(counted(of_triggers.join(triggers, ["ruleset_version", "rule_id", "city_id", "window_start"], "left_anti"), queue_without_trigger=F.col("q")))
+    again = per_trigger.filter("q > 0").groupBy(*ALERT_KEY, "member_id").agg(F.max("q_score").alias("s")).groupBy(*ALERT_KEY).agg(F.count("*").alias("n"), F.count_if(F.col("s") >= 4).alias("h"))
+    pairs = alerts.select(*ALERT_KEY, "eligible_members", "high_priority_members").join(again, list(ALERT_KEY), "full_outer")
+    agree = F.col("eligible_members").eqNullSafe(F.col("n")) & F.col("high_priority_members").eqNullSafe(F.col("h"))
+    found.append(counted(pairs, alert_mismatches=(~agree).cast("int")))
+    ours = per_trigger.filter("e > 0").groupBy("decision_date", "city_id", "member_id").agg(F.max("eligible").alias("e"), F.max("e_score").alias("s"))
     ours = ours.groupBy("decision_date", "city_id").agg(F.count("*").alias("n"), F.count_if("e").alias("c"), F.count_if(F.col("s") >= 4).alias("h"))
-    pair = workload.join(ours, ["decision_date", "city_id"], "full_outer")
-    odd_workload = pair.filter(" OR ".join(f"coalesce({a}, 0) <> coalesce({b}, 0)" for a, b in (("at_risk_members", "n"), ("contactable_members", "c"), ("high_priority_members", "h"))))
-    named = triggers.select("city_id").unionByName(queue.select("city_id")).unionByName(alerts.select("city_id"))
-    counts = [
-        count_of(queue.filter("NOT outreach_consent"), "consent_leakage"),
-        count_of(queue.groupBy(*MEMBER_KEY).count().filter("count > 1"), "duplicate_member_triggers"),
-        count_of(triggers.filter("observed_persistence_hours < persistence_hours OR window_end < window_start"), "invalid_windows"),
-        count_of(queue.join(triggers, ["ruleset_version", "rule_id", "city_id", "window_start"], "left_anti"), "queue_without_trigger"),
-        count_of(odd_alerts, "alert_mismatches"),
-        count_of(named.join(cities, "city_id", "left_anti"), "unapproved_city_rows"),
-        count_of(queue.join(exposure, list(MEMBER_KEY), "left_anti"), "queue_without_exposure"),
-        count_of(odd_workload, "workload_mismatches"),
-        count_of(workload.filter("at_risk_members > total_members"), "at_risk_above_total"),
-    ]
-    out = counts[0]
-    for one in counts[1:]:  # rows of one
-        out = out.crossJoin(one)
-    return out
+    differ = " OR ".join(f"coalesce({a}, 0) <> coalesce({b}, 0)" for a, b in (("at_risk_members", "n"), ("contactable_members", "c"), ("high_priority_members", "h")))
+    found.append(counted(workload.join(ours, ["decision_date", "city_id"], "full_outer"), workload_mismatches=F.expr(differ).cast("int"), at_risk_above_total=F.expr("at_risk_members > total_members").cast("int")))
+    found.append(counted(triggers, invalid_windows=F.expr("observed_persistence_hours < persistence_hours OR window_end < window_start").cast("int")))
+    rows = triggers.groupBy("city_id").count().unionByName(alerts.groupBy("city_id").count()).unionByName(of_triggers.groupBy("city_id").agg(F.sum("q").alias("count")))
+    found.append(counted(rows.join(cities, "city_id", "left_anti"), unapproved_city_rows=F.col("count")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.groupBy().pivot("check", list(CHECKS)).agg(F.first("n"))
 
 
 def integrity_results(row: DataFrame, maxima: dict[str, int]) -> DataFrame:
