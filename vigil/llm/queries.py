@@ -22,5 +22,6 @@ SQL = {
     "op6_exact_top_k": topk.OP6_SQL,
     "op8_source_mix": mixing.OP8_SQL,
     "op11_substring_dedup": recompression.OP11_SQL,
+    "op12_periodic_runs": runs.OP12_SQL,
     "op13_fill_in_middle": middle.OP13_SQL,
 }

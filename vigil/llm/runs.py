@@ -180,3 +180,25 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+#: Equal stretches of five words of a document stand q words apart all along a run of period q; stretches that follow each other are one.
+OP12_SQL = r"""
+    WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS t),
+    hashed AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        xor(list_reduce(list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT), lambda a, c: xor(a >> 8, t[(xor(a, c) & 255) + 1]), 4294967295), 4294967295) AS h
+      FROM documents, steps),
+    sized AS (SELECT *, len(words) AS n, coalesce(h % 10 = 0 AND len(words) > 0, false) AS planted, h // 10 AS g FROM hashed),
+    placed AS (SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a, CASE WHEN planted THEN 1 + (n - g % n) // (3 + g % 8) ELSE 1 END AS p FROM sized),
+    texts AS (SELECT r, doc_id, list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) AS words FROM placed),
+    fives AS (SELECT r, i, array_to_string(words[i + 1:i + 5], ' ') AS k FROM (SELECT r, words, unnest(range(len(words) - 4)) AS i FROM texts WHERE len(words) >= 5)),
+    pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM fives x JOIN fives y ON x.r = y.r AND x.k = y.k AND x.i < y.i),
+    stretches AS (SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island),
+    runs AS (SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+    dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts) ANTI JOIN dropped USING (r, i) GROUP BY r),
+    lists AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines, max_by({'s': start, 'l': length, 'p': period}, (length, -start, -period)) AS best FROM runs GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period, (1000 * best.l // best.p)::BIGINT AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+    FROM texts LEFT JOIN lists USING (r) LEFT JOIN kept USING (r)"""
