@@ -108,3 +108,23 @@ def test_lineage_of_a_run(spark):
         ("r1:s:x", "r2:s:x", "reused_from"), ("r2:s:x", "r2:s", "compacted_from"), ("r2:s:y", "r2:s", "compacted_from"), ("r2:s", "r2:mart", "derived_from"), ("ref", "r2:mart", "derived_from")}
     assert sorted(tuple(r) for r in operations.run_upstream(artifacts, runs).collect()) == [("r2", "r2:s"), ("r2", "ref")]
     assert operations.lineage(artifacts.limit(0), runs).count() == 0
+
+
+def test_marts_follow_their_tables(spark, tmp_path):
+    from vigil.plans import risk
+
+    d, calls = str(tmp_path), []
+
+    def mart(s, folder):
+        calls.append(folder)
+        return storage.read(s, f"{folder}/t.parquet").withColumn("decision_date", F.lit("2030-01-01"))
+
+    seen = lambda: risk.published(spark, d, "a_mart", mart).count()
+    storage.write(spark.range(3), f"{d}/t.parquet")
+    assert seen() == seen() == 3 and len(calls) == 1
+    storage.write(spark.range(5), f"{d}/t.parquet", mode="overwrite")
+    assert seen() == 5 and len(calls) == 2
+    path = risk.PUBLISHED[spark.sparkContext.applicationId, d, "a_mart"][1]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    assert seen() == 5 and len(calls) == 3
