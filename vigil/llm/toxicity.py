@@ -7,9 +7,10 @@ frequency counts by the levels that it reaches. A term weighs its idf, over all
 documents; terms that tell the labels apart beyond chance weigh as many times more
 as their chi-square exceeds LEAST, since in a long text the few telling words would
 not count otherwise. Texts are unit vectors of all their terms of the vocabulary.
-Examples lie in an inverted index in blocks, with the largest weight of each term in
-each block; a query opens blocks by falling bound, and stops when no bound reaches
-its k-th similarity, so the neighbours are exact. They vote by the square of
+Examples lie in an inverted index in blocks, with the largest weight of each frequent
+term in each block. The queries of a slice of texts go together: rare terms are summed
+over their postings, block maxima bound what frequent ones can add, and these are summed
+in the blocks whose bound reaches the k-th similarity alone, so the neighbours are exact. They vote by the square of
 similarity; votes are weighed so that the sample's class shares become those of all
 labels learned from. A logistic curve from votes to labels, fitted to the examples
 with each scored by the others, makes scores of the votes. The nearest examples' ids
@@ -39,8 +40,8 @@ from vigil.llm.common import U64, Powers, Slice, byte_values, crc_bucket, mix64,
 
 #: Examples of each class; the chi-square beyond which a term weighs more; votes; examples in a block.
 SAMPLE, LEAST, NEAREST, BLOCK = 1000, 10.0, 15, 32
-#: Blocks that a query opens first, and twice as many each time after; examples in a task that scores them; terms in a chunk of counts.
-OPENED, SCORED, CHUNK = 8, 500, 2**16
+#: Blocks that a query opens first; examples that hold a frequent term; examples in a task that scores them; terms in a chunk of counts.
+OPENED, FREQUENT, SCORED, CHUNK = 8, 200, 500, 2**16
 #: Bytes of the beginnings of longer words that are terms; occurrences that make one more term of a term.
 BEGINNINGS, LEVELS = (5, 6, 7, 8), (1, 2, 4, 8)
 #: Votes of the prior, beside those of the neighbours.
@@ -198,7 +199,10 @@ def ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """Examples in blocks of similar ones: for each term its blocks, with the largest weight in each, and the postings there."""
+    """Examples in blocks of similar ones: for each term its postings, and for terms of many postings the largest weight in each block.
+
+    Postings are places alone; a weight there is the term's over the example's norm. What is made from them in a task is not broadcast.
+    """
 
     def __init__(self, examples: list[Example], weight: np.ndarray) -> None:
         own = [weighted(e.terms, weight) for e in examples]
@@ -206,47 +210,69 @@ class Index:
         self.ids = np.array([examples[i].doc_id for i in order], dtype=np.int64)
         self.toxic = np.array([examples[i].toxic for i in order], dtype=float)
         self.n_blocks, self.weight = -(-len(order) // BLOCK), weight
-        lengths = [len(examples[i].terms) for i in order]
+        self.norm = np.array([np.sqrt(np.square(weight[examples[i].terms]).sum()) for i in order])
         term = np.concatenate([examples[i].terms for i in order]) if order else np.zeros(0, dtype=np.int64)
-        place, value = np.repeat(np.arange(len(order)), lengths), np.concatenate([own[i] for i in order]) if order else np.zeros(0)
+        place = np.repeat(np.arange(len(order)), [len(examples[i].terms) for i in order])
         by_term = np.lexsort((place, term))
-        term, place, self.value = term[by_term], place[by_term], value[by_term]
-        pair = term * max(1, self.n_blocks) + place // BLOCK
-        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, dtype=np.int64)
-        # at most 2 * SAMPLE places: small numbers, as the index is broadcast
-        self.place, self.block = place.astype(np.uint16), (place[first] // BLOCK).astype(np.uint16)
-        self.begin = np.append(first, len(pair)).astype(np.int32)  # where the postings of each term and block begin
-        self.most = np.maximum.reduceat(self.value, first) if len(first) else np.zeros(0)
-        self.of_term = np.searchsorted(term[first], np.arange(len(weight) + 1)).astype(np.int32)  # where the blocks of each term begin
+        self.place = place[by_term].astype(np.uint16)  # at most 2 * SAMPLE places
+        self.of_term = np.searchsorted(term[by_term], np.arange(len(weight) + 1)).astype(np.int32)  # where the postings of each term begin
+        self.value = None
+
+    def prepare(self) -> None:
+        """Weights of postings; the frequent terms' as dense rows over the examples, and the block maxima of these."""
+        count = np.diff(self.of_term)
+        self.value = np.repeat(self.weight, count) / self.norm[self.place]
+        frequent = np.flatnonzero(count >= FREQUENT)
+        self.dense_row = np.full(len(count), -1)
+        self.dense_row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.n_blocks * BLOCK))
+        at, n = ranges(self.of_term[frequent].astype(np.int64), self.of_term[frequent + 1].astype(np.int64))
+        self.dense[np.repeat(np.arange(len(frequent)), n), self.place[at]] = self.value[at]
+        self.most = self.dense.reshape(len(frequent), self.n_blocks, BLOCK).max(axis=2, initial=0)
+
+    def nearest_rows(self, terms: np.ndarray, cut: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, place, similarity) of the k nearest examples with any term in common, exactly, of documents with these terms.
+
+        Rare terms are summed over their postings. Frequent ones give each block a bound on top of that, and are summed in
+        opened blocks alone: those of the OPENED largest bounds, and then all whose bound reaches the k-th similarity by then.
+        """
+        if self.value is None:
+            self.prepare()
+        n, width = len(cut) - 1, self.n_blocks * BLOCK
+        doc, terms = np.repeat(np.arange(n), np.diff(cut)), terms.astype(np.int64)
+        own = self.weight[terms]
+        own = own / np.sqrt(np.bincount(doc, own * own, minlength=n))[doc]
+        row = self.dense_row[terms]
+        rare = row < 0
+        at, m = ranges(self.of_term[terms[rare]].astype(np.int64), self.of_term[terms[rare] + 1].astype(np.int64))
+        sums = np.bincount(np.repeat(doc[rare], m) * width + self.place[at], np.repeat(own[rare], m) * self.value[at], minlength=n * width).reshape(n, self.n_blocks, BLOCK)
+        often = np.zeros((n, len(self.dense)))
+        often[doc[~rare], row[~rare]] = own[~rare]
+        bounds = sums.max(axis=2, initial=0) + often @ self.most
+        found, opened = np.full((n, width), -1.0), np.zeros((n, self.n_blocks), dtype=bool)
+
+        def open_(asked: np.ndarray) -> None:
+            for b in np.flatnonzero(asked.any(axis=0)):
+                who, cells = np.flatnonzero(asked[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                found[who, cells] = sums[who, b] + often[who] @ self.dense[:, cells]
+            opened[asked] = True
+
+        first = np.zeros_like(opened)
+        if self.n_blocks:
+            np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :OPENED], True, axis=1)
+        open_(first & (bounds > 0))
+        kth = np.partition(found, -k, axis=1)[:, -k] if k <= width else np.full(n, -1.0)
+        open_(~opened & (bounds > 0) & (bounds >= kth[:, None] - 1e-9))
+        kth = np.partition(found, -k, axis=1)[:, -k] if k <= width else np.full(n, -1.0)
+        who, place = np.nonzero((found > 0) & (found >= kth[:, None] - 1e-9))
+        order = np.lexsort((self.ids[place], -np.round(found[who, place], 12), who))
+        who, place = who[order], place[order]
+        kept = np.arange(len(who)) - np.searchsorted(who, who) < k
+        return who[kept], place[kept], found[who[kept], place[kept]]
 
     def nearest(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and similarities of the k nearest examples with any term in common, exactly."""
-        own = weighted(terms, self.weight)
-        pair, n = ranges(self.of_term[terms], self.of_term[terms + 1])
-        own, block = np.repeat(own, n), self.block[pair]
-        bounds = np.bincount(block, own * self.most[pair], minlength=self.n_blocks)
-        blocks = np.argsort(-bounds, kind="stable")
-        places, similar, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        low, step = 0, OPENED
-        while low < len(blocks):
-            opened = blocks[low : low + step]
-            low, step = low + step, 2 * step
-            if bounds[opened[0]] <= 0 or (len(places) == k and bounds[opened[0]] < least - 1e-9):
-                break
-            taken = np.zeros(self.n_blocks, dtype=bool)
-            taken[opened] = True
-            taken = taken[block]
-            posting, n = ranges(self.begin[pair[taken]], self.begin[pair[taken] + 1])
-            sums = np.bincount(self.place[posting], np.repeat(own[taken], n) * self.value[posting], minlength=len(self.ids))
-            hit = np.flatnonzero(sums > 0)
-            places, similar = np.append(places, hit), np.append(similar, sums[hit])
-            if len(places) > k:
-                near = np.flatnonzero(similar >= np.partition(similar, -k)[-k] - 1e-9)
-                top = near[np.lexsort((self.ids[places[near]], -np.round(similar[near], 12)))[:k]]
-                places, similar = places[top], similar[top]
-            least = similar.min() if len(places) == k else 0.0
-        order = np.lexsort((self.ids[places], -np.round(similar, 12)))
-        return places[order], similar[order]
+        """Places and similarities of the k nearest examples of one document."""
+        return self.nearest_rows(terms, np.array([0, len(terms)]), k)[1:]
 
 
 class Voter(NamedTuple):
@@ -259,20 +285,24 @@ class Voter(NamedTuple):
     slope: float = 1.0
     shift: float = 0.0
 
-    def raw(self, doc_id: int | None, terms: np.ndarray) -> tuple[float, list[int]]:
-        """The share of votes for label 1, and the ids of the voters, nearest first."""
-        if not len(terms) or not self.index.n_blocks:
-            return self.without, []
-        places, similar = self.index.nearest(terms, NEAREST + 1)
-        own = self.index.ids[places] != doc_id if doc_id is not None else np.ones(len(places), dtype=bool)
-        places, weight = places[own][:NEAREST], np.square(similar[own][:NEAREST])
-        toxic = self.index.toxic[places]
-        for_, against = (weight * toxic).sum() * self.votes[1], (weight * (1 - toxic)).sum() * self.votes[0]
-        return float((for_ + PRIOR_VOTES * self.prior) / (for_ + against + PRIOR_VOTES)), self.index.ids[places].tolist()
-
-    def score(self, doc_id: int | None, terms: np.ndarray) -> tuple[float, list[int]]:
-        share, voters = self.raw(doc_id, terms)
-        return float(sigmoid(np.array(self.slope * logit(share) + self.shift))), voters
+    def raw(self, ids: np.ndarray, terms: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """The share of votes for label 1 of each document, and the ids of the voters, nearest first. ids: a number that no example has for none."""
+        n = len(ids)
+        who, place, similar = self.index.nearest_rows(terms, cut, NEAREST + 1)
+        other = self.index.ids[place] != ids[who]
+        who, place, similar = who[other], place[other], similar[other]
+        kept = np.arange(len(who)) - np.searchsorted(who, who) < NEAREST
+        who, place, weight = who[kept], place[kept], np.square(similar[kept])
+        toxic = self.index.toxic[place]
+        for_, against = np.bincount(who, weight * toxic, minlength=n) * self.votes[1], np.bincount(who, weight * (1 - toxic), minlength=n) * self.votes[0]
+        share = (for_ + PRIOR_VOTES * self.prior) / (for_ + against + PRIOR_VOTES)
+        bare = (np.diff(cut) == 0) | (self.index.n_blocks == 0)
+        voters = pa.ListArray.from_arrays(pa.array(np.searchsorted(who, np.arange(n + 1)), pa.int32()), pa.array(self.index.ids[place], pa.int64()))
+        return np.where(bare, self.without, share), voters
+
+    def score(self, ids: np.ndarray, terms: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        share, voters = self.raw(ids, terms, cut)
+        return sigmoid(self.slope * logit(share) + self.shift), voters
 
 
 def logit(p):
@@ -325,12 +355,14 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             powers, (model, bases, place) = Powers(), received(shared)
             model = model._replace(slope=curve[0], shift=curve[1]) if curve else model
             for batch in batches:
-                ids, found = batch["doc_id"].to_pylist(), []
+                # an example's own text is known by its id, and a null id is none of theirs
+                ids, done, found = batch["doc_id"].cast(pa.int64()), 0, [(np.zeros(0), pa.array([], pa.list_(pa.int64())))]
+                known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
                 for terms, cut in found_terms(batch["text"], bases, place, powers):
-                    for low, high in zip(cut[:-1], cut[1:], strict=True):
-                        found.append((model.score if curve else model.raw)(ids[len(found)], terms[low:high]))
-                scores, evidence = zip(*found, strict=True) if found else ((), ())
-                yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=[*names, "score", "evidence"])
+                    own = slice(done, done := done + len(cut) - 1)
+                    found.append((model.score if curve else model.raw)(np.where(known[own], ids[own], np.iinfo(np.int64).min), terms, cut))
+                scores, evidence = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), pa.array(np.concatenate(scores)), pa.concat_arrays(evidence)], names=[*names, "score", "evidence"])
 
         kinds = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in names)
         return rows.mapInArrow(run, f"{kinds}, score double, evidence array<long>")
