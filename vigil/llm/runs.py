@@ -25,6 +25,8 @@ searched whole, whatever their length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,8 @@ from vigil.llm.common import slices, table
 from vigil.llm.wavelet import WaveletMatrix
 
 LEAST, EXPONENT = 6, 4
+#: Blocks that look for themselves at a time.
+BLOCKS = 1 << 17
 
 
 def dyadic_names(ids: np.ndarray) -> list[np.ndarray]:
@@ -73,36 +77,43 @@ def extended(names: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> tuple
     return ahead, back
 
 
-def nearest_occurrences(names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(place, distance): of blocks of 2, 4, 8, ... numbers and their next or previous occurrence, no further than their length."""
+def nearest_occurrences(names: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place, distance) of blocks of 2, 4, 8, ... numbers and their next or previous occurrence, no further than their length; some blocks at a time."""
     n = len(names[0])
     suffixes = np.empty(n, dtype=np.int64)
     suffixes[names[-1]] = np.arange(n)
-    matrix, places, distances = WaveletMatrix(suffixes, n.bit_length()), [], []
+    matrix = WaveletMatrix(suffixes, n.bit_length())
+    del suffixes
     for k in range(1, len(names) - 1):
         length, name = 1 << k, names[k]
         size = np.bincount(name, minlength=n)
-        block = np.arange(0, n, length)
-        block = block[size[name[block]] > 1]
-        low = name[block].astype(np.int64)
-        high = low + size[low]
-        after, before = matrix.successor(block + 1, low, high), matrix.predecessor(block, low, high)
-        for place, distance, there in ((block, after - block, after >= 0), (before, block - before, before >= 0)):
-            near = there & (distance <= length)
-            places.append(place[near])
-            distances.append(distance[near])
-    none = [np.zeros(0, dtype=np.int64)]
-    return np.concatenate(none + places), np.concatenate(none + distances)
+        for first in range(0, n, length * BLOCKS):
+            block = np.arange(first, min(n, first + length * BLOCKS), length)
+            block = block[size[name[block]] > 1]
+            low = name[block].astype(np.int64)
+            high = low + size[low]
+            after, before = matrix.successor(block + 1, low, high), matrix.predecessor(block, low, high)
+            for place, distance, there in ((block, after - block, after >= 0), (before, block - before, before >= 0)):
+                near = there & (distance <= length)
+                yield place[near], distance[near]
+
+
+def distinct_rows(rows: np.ndarray) -> np.ndarray:
+    """The distinct rows, sorted; rows that repeat the one before go first, as blocks of one run tell it one after the other."""
+    fresh = np.ones(len(rows), dtype=bool)
+    fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    return np.unique(rows[fresh], axis=0)
 
 
 def runs_of(ids: np.ndarray, least: int, exponent: int) -> np.ndarray:
     """Rows of (start, length, period), by start and then period, of all runs of the texts in ids."""
-    names = dyadic_names(ids)
-    place, period = nearest_occurrences(names)
-    ahead, back = extended(names, place, place + period)
-    start, length = place - back, back + period + ahead
-    kept = length >= np.maximum(least, exponent * period)
-    found = np.unique(np.column_stack([start, length, period])[kept], axis=0)
+    names, found = dyadic_names(ids), [np.zeros((0, 3), dtype=np.int64)]
+    for place, period in nearest_occurrences(names):
+        ahead, back = extended(names, place, place + period)
+        start, length = place - back, back + period + ahead
+        kept = length >= np.maximum(least, exponent * period)
+        found.append(distinct_rows(np.column_stack([start, length, period])[kept]))
+    found = distinct_rows(np.concatenate(found))
     first = np.ones(len(found), dtype=bool)  # a stretch has its multiples of the period, too
     first[1:] = (found[1:, :2] != found[:-1, :2]).any(axis=1)
     found = found[first]
