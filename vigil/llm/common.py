@@ -7,7 +7,6 @@ document is never cut: one longer than a slice is a slice of its own.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,6 +17,8 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.sources.storage import shared_folder
+
 SLICE = 250_000
 U64 = np.uint64
 
@@ -27,14 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one on a single machine, else one in the warehouse."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="vigil-checkpoint-") if sc.master.startswith("local") else f"{spark.conf.get('spark.sql.warehouse.dir')}/vigil"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(configured)
-    return configured
+    """The folder that all executors share, which becomes the session's checkpoint folder if it has none."""
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -26,6 +26,11 @@ reaches the threshold times its size; then its exact overlaps with the members
 decide. Links become a spanning forest there, and the components of all forests'
 edges give the result.
 
+All links are found but for one case: a token is cut to 32 bits within its bucket, and tokens of one set that are
+equal then count once. For T tokens in B buckets that is T squared in 2**33 B, nothing for texts of less than some
+ten million words, where two sets that link by the least number of tokens could be missed. Hashes of shingles have
+64 bits, signatures of sets 128.
+
 Defined results: null and empty texts, or texts without words, have empty sets of
 size 0, and are components of their own; with fewer words than a shingle has, the
 whole sequence is the one shingle; a null id gets a null component and takes no
