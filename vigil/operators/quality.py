@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.expressions import three_level
+from vigil.sources.storage import fresh_folder, read, write
 
 
 def source_profile(df: DataFrame, dataset: str, keys: Sequence[str], when: str) -> DataFrame:
@@ -96,28 +97,33 @@ def counted(df: DataFrame, **checks: Column) -> DataFrame:
 def integrity(exposure: DataFrame, queue: DataFrame, alerts: DataFrame, triggers: DataFrame, workload: DataFrame, cities: DataFrame) -> DataFrame:
     """one row of nine counts, all 0 for marts that agree with each other.
 
-    Exposure and queue are dealt once, together, by date, city and member: what is asked of a member's triggers and what is
-    asked of a member are aggregations on top of that. Each other mart is aggregated once, with all of its checks.
+    Exposure and queue meet once, by member and trigger, and become a row for each date and trigger, which is written; what is
+    asked of alerts, triggers and cities is asked of that small table. Exposure is aggregated once more, by member, for the workload.
     """
-    tag = lambda df, queued: df.select(*MEMBER_KEY, "priority_score", "outreach_eligible" if not queued else F.lit(None).cast("boolean").alias("outreach_eligible"), "outreach_consent", F.lit(queued).alias("queued"))
-    both = tag(exposure, False).unionByName(tag(queue, True)).repartition("decision_date", "city_id", "member_id")
-    of_queue = F.col("queued")
-    per_trigger = both.groupBy(*MEMBER_KEY).agg(
-        F.count_if(of_queue).alias("q"), F.count_if(~of_queue).alias("e"), F.count_if(of_queue & ~F.col("outreach_consent")).alias("unasked"), F.max(F.when(of_queue, F.col("priority_score"))).alias("q_score"),
-        F.max(F.when(~of_queue, F.col("priority_score"))).alias("e_score"), F.max("outreach_eligible").alias("eligible"))
-    found = [counted(per_trigger, consent_leakage=F.col("unasked"), duplicate_member_triggers=(F.col("q") > 1).cast("int"), queue_without_exposure=F.when(F.col("e") == 0, F.col("q")).otherwise(0))]
-    of_triggers = per_trigger.filter("q > 0").groupBy("ruleset_version", "rule_id", "city_id", "window_start").agg(F.sum("q").alias("q"))
-    found.append(counted(of_triggers.join(triggers, ["ruleset_version", "rule_id", "city_id", "window_start"], "left_anti"), queue_without_trigger=F.col("q")))
-    again = per_trigger.filter("q > 0").groupBy(*ALERT_KEY, "member_id").agg(F.max("q_score").alias("s")).groupBy(*ALERT_KEY).agg(F.count("*").alias("n"), F.count_if(F.col("s") >= 4).alias("h"))
-    pairs = alerts.select(*ALERT_KEY, "eligible_members", "high_priority_members").join(again, list(ALERT_KEY), "full_outer")
+    whole = exposure.select(*MEMBER_KEY, F.lit(None).cast("int").alias("score"), F.lit(False).alias("unasked"), F.lit(1).alias("e"))
+    asked = queue.select(*MEMBER_KEY, F.col("priority_score").alias("score"), (~F.col("outreach_consent")).alias("unasked"), F.lit(0).alias("e"))
+    per_member = whole.unionByName(asked).groupBy(*MEMBER_KEY).agg(F.sum("e").alias("e"), F.sum(1 - F.col("e")).alias("q"), F.count_if("unasked").alias("unasked"), F.max("score").alias("score"))
+    key = (*ALERT_KEY, "ruleset_version")
+    per_trigger = per_member.groupBy(*key).agg(
+        F.sum("q").alias("q"), F.sum("unasked").alias("unasked"), F.count_if(F.col("q") > 1).alias("again"), F.sum(F.when(F.col("e") == 0, F.col("q")).otherwise(0)).alias("alone"),
+        F.count_if(F.col("q") > 0).alias("n"), F.count_if(F.col("score") >= 4).alias("h"))
+    path = fresh_folder(exposure.sparkSession, "integrity")
+    write(per_trigger, path)
+    per_trigger = read(exposure.sparkSession, path, per_trigger.schema)
+    queued = per_trigger.filter("q > 0")
+    found = [counted(per_trigger, consent_leakage=F.col("unasked"), duplicate_member_triggers=F.col("again"), queue_without_exposure=F.col("alone"))]
+    found.append(counted(queued.join(triggers, ["ruleset_version", "rule_id", "city_id", "window_start"], "left_anti"), queue_without_trigger=F.col("q")))
+    on = [c for c in key if c in alerts.columns]
+    again = queued.groupBy(*on).agg(F.sum("n").alias("n"), F.sum("h").alias("h"))
+    pairs = alerts.select(*on, "eligible_members", "high_priority_members").join(again, on, "full_outer")
     agree = F.col("eligible_members").eqNullSafe(F.col("n")) & F.col("high_priority_members").eqNullSafe(F.col("h"))
     found.append(counted(pairs, alert_mismatches=(~agree).cast("int")))
-    ours = per_trigger.filter("e > 0").groupBy("decision_date", "city_id", "member_id").agg(F.max("eligible").alias("e"), F.max("e_score").alias("s"))
+    ours = exposure.groupBy("decision_date", "city_id", "member_id").agg(F.max("outreach_eligible").alias("e"), F.max("priority_score").alias("s"))
     ours = ours.groupBy("decision_date", "city_id").agg(F.count("*").alias("n"), F.count_if("e").alias("c"), F.count_if(F.col("s") >= 4).alias("h"))
     differ = " OR ".join(f"coalesce({a}, 0) <> coalesce({b}, 0)" for a, b in (("at_risk_members", "n"), ("contactable_members", "c"), ("high_priority_members", "h")))
     found.append(counted(workload.join(ours, ["decision_date", "city_id"], "full_outer"), workload_mismatches=F.expr(differ).cast("int"), at_risk_above_total=F.expr("at_risk_members > total_members").cast("int")))
     found.append(counted(triggers, invalid_windows=F.expr("observed_persistence_hours < persistence_hours OR window_end < window_start").cast("int")))
-    rows = triggers.groupBy("city_id").count().unionByName(alerts.groupBy("city_id").count()).unionByName(of_triggers.groupBy("city_id").agg(F.sum("q").alias("count")))
+    rows = triggers.groupBy("city_id").count().unionByName(alerts.groupBy("city_id").count()).unionByName(queued.groupBy("city_id").agg(F.sum("q").alias("count")))
     found.append(counted(rows.join(cities, "city_id", "left_anti"), unapproved_city_rows=F.col("count")))
     out = found[0]
     for more in found[1:]:
