@@ -352,7 +352,7 @@ def second_questions(answered: DataFrame, width: int, buckets: int) -> DataFrame
                 windows, names, bucket = c.windows[opened], names[opened], bucket[opened]
                 prints = (c.prints(windows, windows + width) >> U64(32)).astype(np.uint32)
                 first, which, low = distinct(names, prints, c.order[windows])
-                rows = [(-1, flat(np.column_stack([start, end])), flat(windows), flat(which), flat(low))]
+                rows = [(-1, *(flat(x.astype(np.uint32)) for x in (np.column_stack([start, end]), windows, which)), flat(low))]
                 rows += [(b, *map(flat, own)) for b, own in shares(bucket[first], np.arange(len(first)).astype(np.uint32), names[first], prints[first], low)]
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array([row["chunk"]] * len(rows), pa.int64()), *(pa.array(x, pa.binary()) for x in columns[1:])], names=["bucket", "chunk", "at", "names", "prints", "docs"])
@@ -390,9 +390,9 @@ def kept_words(answered: DataFrame, width: int) -> DataFrame:
                 low = np.frombuffer(row["docs"], np.int64).copy()
                 for a in row["answers"] or []:
                     low[np.frombuffer(a["at"], np.uint32)] = np.frombuffer(a["docs"], np.int64)
-                windows, which = np.frombuffer(row["names"], np.int64), np.frombuffer(row["prints"], np.int64)
+                windows, which = (np.frombuffer(row[x], np.uint32).astype(np.int64) for x in ("names", "prints"))
                 windows = windows[low[which] < c.order[windows]]
-                spans = np.frombuffer(row["at"], np.int64).reshape(-1, 2)
+                spans = np.frombuffer(row["at"], np.uint32).astype(np.int64).reshape(-1, 2)
                 steps = np.zeros(len(c.doc) + 1, dtype=np.int64)
                 np.add.at(steps, windows, 1)
                 np.add.at(steps, windows + width, -1)
