@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import U64, Powers, byte_values, mix64, separators, shared_dir, signed, slices, stored, table, words
 from vigil.llm.components import components
+from vigil.llm.components import FEW as FEW_LABELS
 
 #: Sets in a group at most, and their shingles, about; larger groups of similar sets are split. Queries of a task, as groups.
 GROUP, SHINGLES, QUERIES = 256, 500_000, 2
@@ -323,23 +324,32 @@ def shingles_of(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("node", "group", "sig_a", "sig_b", "text").mapInArrow(run, "node long, group long, shingles binary")
 
 
-def grouped(entries: DataFrame) -> DataFrame:
-    """(class, group, root, size): groups of similar sets, from entries (token, class, need, n_shingles, hub); size is the group's, about.
+def hinted(df: DataFrame, few: bool) -> DataFrame:
+    """df, broadcast if it has few rows: a join by shuffles would shuffle both sides, and Spark then broadcast the smaller one all the same."""
+    return F.broadcast(df) if few else df
 
-    A set's hub is the one of its tokens' hubs that most of them have, its root the hub of hubs. The sets of a hub are
+
+def hubs_of(entries: DataFrame) -> DataFrame:
+    """(class, hub, n_shingles) from entries (token, class, need, n_shingles, hub): the one of its tokens' hubs that most of them have."""
+    hubs = entries.repartition("class").groupBy("class", "hub").agg(F.count("*").alias("k"), F.first("n_shingles").alias("n_shingles"))
+    return hubs.groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), F.first("n_shingles").alias("n_shingles"))
+
+
+def grouped(hubs: DataFrame, few: bool) -> DataFrame:
+    """(class, group, root, size): groups of similar sets, from their hubs; size is the group's, about; few tells that the hubs may be broadcast.
+
+    A set's root is the hub of its hub. The sets of a hub are
     groups of their own if they fill half of one at least; those of the root's other hubs are groups together.
     """
-    one = F.first("n_shingles").alias("n_shingles")
-    hubs = entries.repartition("class").groupBy("class", "hub").agg(F.count("*").alias("k"), one).groupBy("class").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"), one).checkpoint()
     up = hubs.select(F.col("class").alias("hub"), F.col("hub").alias("up"))
     weight = 1 / F.lit(GROUP) + F.col("n_shingles") / F.lit(SHINGLES)
-    of_hub = hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")).join(up, "hub", "left").select("hub", "of_hub", F.coalesce("up", "hub").alias("root"))
-    wide = hubs.withColumn("weight", weight).join(of_hub, "hub")
+    of_hub = hubs.groupBy("hub").agg(F.sum(weight).alias("of_hub")).join(hinted(up, few), "hub", "left").select("hub", "of_hub", F.coalesce("up", "hub").alias("root"))
+    wide = hubs.withColumn("weight", weight).join(hinted(of_hub, few), "hub")
     rest = wide.filter("of_hub < 0.5").groupBy("root").agg(F.sum("weight").alias("of_root"))
     own = F.xxhash64(F.lit(1), "hub", F.pmod(F.xxhash64("class"), F.ceil("of_hub")))
     common = F.xxhash64(F.lit(0), "root", F.pmod(F.xxhash64("hub"), F.ceil("of_root")))
     large, whole = F.col("of_hub") >= 0.5, F.when(F.col("of_hub") >= 0.5, F.col("of_hub")).otherwise(F.col("of_root"))
-    return wide.join(rest, "root", "left").select("class", F.when(large, own).otherwise(common).alias("group"), "root", (whole / F.ceil(whole)).alias("size"))
+    return wide.join(hinted(rest, few), "root", "left").select("class", F.when(large, own).otherwise(common).alias("group"), "root", (whole / F.ceil(whole)).alias("size"))
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -363,16 +373,18 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     entries = entries.withColumns({"sets": F.count("*").over(token), "hub": F.min_by("class", F.xxhash64("class")).over(token)}).filter("sets > 1").drop("sets")
     entries = entries.repartition("class").withColumn("shared", F.count("*").over(own)).filter("shared >= need").drop("shared").checkpoint()
 
-    groups = grouped(entries).checkpoint()
-    names = found.filter("node IS NOT NULL").select("doc_id", "node", "sig_a", "sig_b").join(groups.select(F.col("class").alias("node"), "group"), "node")
-    few = groups.count() <= FEW  # what is broadcast is of a checked size
-    sets = stored(shingles_of(docs.join(F.broadcast(names) if few else names, "doc_id"), width))
+    hubs = hubs_of(entries).checkpoint()
+    total = hubs.count()
+    few, small = total <= FEW, total <= FEW_LABELS  # what is broadcast is of a checked size
+    groups = grouped(hubs, small).checkpoint()
+    names = found.filter("node IS NOT NULL").select("doc_id", "node", "sig_a", "sig_b").join(hinted(groups.select(F.col("class").alias("node"), "group"), small), "node")
+    sets = stored(shingles_of(docs.join(hinted(names, few), "doc_id"), width))
 
     # first within groups, each with its root besides; what that links need not be opened again
     inside = groups.select(F.col("class").alias("node"), F.col("group").alias("target"), "root").union(groups.select("root", "group", "root")).distinct()
     first = within(inside.join(sets.drop("group"), "node"), percent).checkpoint()
     linked = first.toDF("class", "component")
-    matrix = entries.select("token", "class", "need").join(groups.select("class", "group", "size"), "class").join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    matrix = entries.select("token", "class", "need").join(hinted(groups.select("class", "group", "size"), small), "class").join(hinted(linked, small), "class", "left").withColumn("component", F.coalesce("component", "class"))
     matrix = matrix.groupBy("token", "need", "group").agg(F.first("size").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
     left, right = matrix.toDF("token", "need", "g", "size_g", "low_g", "high_g"), matrix.drop("need").toDF("token", "h", "size_h", "low_h", "high_h")
     across = left.join(right, "token").filter("g < h AND NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
@@ -391,7 +403,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     labelled = classes.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class"))
     # sets that only rows without an id have are of no class, and get no component
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    labelled = labelled.join(smallest, "component", "left").select(*keys, "component_id", "copies")
+    labelled = stored(labelled.join(smallest, "component", "left").select(*keys, "component_id", "copies"))  # it is read three times
     return with_components(found, labelled, keys)
 
 
