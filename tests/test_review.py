@@ -72,6 +72,17 @@ def test_conflicts_are_those_of_every_pair(spark, seed):
     assert found == every_pair(rows) and {x[2] for x in found} == {"duplicate_scope", "nested", "threshold_overlap"}
 
 
+def test_rules_that_differ_in_their_ids_alone_are_compared_as_lists(spark):
+    kinds = [([predicate()], "xy", [1, 2], "p"), ([predicate(threshold=2.0)], "x", [1], "q"), ([predicate(), predicate("n")], "y", [2], "p")]
+    rows = [(f"r{i:03}", *kinds[i % 3]) for i in range(60)]
+    rules, profiles = catalog(spark, rows), cohorts(spark)
+    assert sorted(len(r.rules) for r in review.lists(review.scoped(rules, profiles), 7).collect()) == [6, 6, 6, *[7] * 6]
+    assert review.lists(review.scoped(rules, profiles)).count() == 3
+    for most in (1, 7, 1000):
+        found = review.rule_conflicts(rules, profiles, most=most).collect()
+        assert sorted((r.first_rule, r.second_rule, r.conflict, r.level, tuple(r.cities), tuple(r.months), tuple(r.conditions)) for r in found) == every_pair(rows)
+
+
 def test_rules_of_unknown_profiles_and_empty_catalogs_have_no_conflicts(spark):
     assert conflicts(spark, [("a", [predicate()], "x", [1], "unknown"), ("b", [predicate()], "x", [1], "unknown")]) == []
     assert review.rule_conflicts(catalog(spark, []), cohorts(spark)).count() == 0
