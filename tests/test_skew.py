@@ -94,3 +94,16 @@ def test_exposure_of_a_hot_city_is_many_tasks(spark, plain_shuffles):
     assert sorted(map(str, lists.collect())) == sorted(map(str, salted.select(*lists.columns).collect())) and lists.count() == 5 * 3920 + 80
     assert largest_share(lists) < 0.4 and largest_share(salted) < 0.5
     assert marts.member_exposure(frames[0], frames[1], frames[2].limit(0), frames[3]).count() == 0
+
+
+def test_alerts_of_factors_are_those_of_the_queue(spark):
+    members, links, daily, relevance = exposure_frames(spark)
+    days = daily.withColumns({"window_start": F.col("decision_date"), "window_end": F.col("decision_date") + 1, "observed_persistence_hours": F.lit(3)})
+    days = days.withColumns({c: F.lit(c) for c in ("signal_name", "action_timing", "trigger_explanation")})
+    days = days.unionByName(days.withColumn("severity", F.lit("low"))).unionByName(days.filter("decision_date = 2"))
+    relevance = relevance.filter("condition = 'b'")
+    people = marts.matched_members(members.withColumn("age_band", F.when(F.col("member_id") % 2 == 0, "60+").otherwise("18-39")), links, relevance)
+    wanted = marts.stakeholder_alerts(marts.outreach_queue(marts.exposed_members(people, days, True)))
+    found = marts.alerts_of_factors(people, days)
+    assert sorted(map(str, found.select(*wanted.columns).collect())) == sorted(map(str, wanted.collect())) and found.count() == 12
+    assert {r.high_priority_members > 0 for r in found.collect()} == {True, False}
