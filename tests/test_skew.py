@@ -107,3 +107,15 @@ def test_alerts_of_factors_are_those_of_the_queue(spark):
     found = marts.alerts_of_factors(people, days)
     assert sorted(map(str, found.select(*wanted.columns).collect())) == sorted(map(str, wanted.collect())) and found.count() == 12
     assert {r.high_priority_members > 0 for r in found.collect()} == {True, False}
+
+
+def test_counts_by_member_shuffle_no_rows_of_exposure(spark):
+    from vigil.operators import quality
+    from vigil.plans import risk
+
+    d = "/root/testdata/sf0.001"
+    exposure, queue = (df.select(*quality.MEMBER_KEY) for df in (risk.exposed(spark, d), risk.queue(spark, d)))
+    counts = exposure.unionByName(queue).unionByName(queue.filter("member_id % 9 = 2")).groupBy(*quality.MEMBER_KEY).count()
+    plan = counts._jdf.queryExecution().sparkPlan().toString() + counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(member_id" in plan and "hashpartitioning(decision_date" not in plan
+    assert counts.count() == exposure.count()
