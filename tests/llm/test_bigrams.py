@@ -87,6 +87,22 @@ def test_tables_of_pairs_are_those_of_a_plain_restaurant():
     assert mean == pytest.approx(plain, rel=0.05)
 
 
+def test_scores_are_of_the_mean_of_samples(spark, monkeypatch):
+    """Tables of pairs are means over the last turn's seatings, and so are those that the parent's are drawn for."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(40).select("doc_id", "text")
+    tables, own = [], bigrams.seating
+    monkeypatch.setattr(bigrams, "seating", lambda train, layout: tables.append((own(train, layout), layout)) or tables[-1][0])
+    assert all(math.isfinite(r.score) for r in bigrams.score(docs).collect())
+    (state, layout), = tables
+    found = []
+    for row in state.seated.collect():
+        assert row["d"][0] == bigrams.SAMPLES > 1
+        found.append(bigrams.unpacked(row["a"], np.uint32) / row["d"][0])
+    t = np.concatenate(found)
+    assert t.min() >= 1 and np.any(t != np.round(t))
+    assert t.sum() + lm.PARENT[1] == pytest.approx(state.over)
+
+
 def test_edges_and_nothing(spark):
     rows = bigrams.score(spark.createDataFrame(EDGES, DOCS)).collect()
     assert len(rows) == len(EDGES) and all(math.isfinite(r.score) and r.score <= 0 for r in rows)
